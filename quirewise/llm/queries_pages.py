@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirewise.llm.lookalike import lookalike_pairs
 from quirewise.llm.repeated_lines import repeated_lines, without_lines
 from quirewise.llm.splitting import split_items
 from quirewise.storage import table
@@ -29,6 +30,18 @@ def p1_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and equations that look the same but are written with other characters."""
+    pages, equations = table(spark, sf_dir, "pdf"), table(spark, sf_dir, "equation_index")
+    fragments = F.array_join(F.transform("raw_fragments", lambda x: F.coalesce(x, F.lit(""))), "\x1f")
+    records = (
+        pages.select(F.lit("pdf.text").alias("field"), F.col("page_id").alias("record_key"), "text")
+        .union(equations.select(F.lit("equation_index.sanitized_native_text"), "record_id", "sanitized_native_text"))
+        .union(equations.select(F.lit("equation_index.raw_fragments"), "record_id", fragments))
+    )
+    return lookalike_pairs(records.where(r"text rlike '(?U)[^\\s\\x{1f}]'"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every book longer than 24 pages, cut where a chapter or section starts."""
     pages = table(spark, sf_dir, "pdf").where("book is not null and page_index is not null")
@@ -38,7 +51,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_items(lengths, valid).select(F.col("item").alias("book"), F.col("first").alias("first_page"), F.col("last").alias("last_page"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p4_found": p4_found, "p6_found": p6_found}
 
 SQL = {
     "p1_found": r"""
