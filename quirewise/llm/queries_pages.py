@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirewise.llm.encoding import garbled, trained_on
 from quirewise.llm.lookalike import lookalike_pairs
 from quirewise.llm.repeated_lines import repeated_lines, without_lines
 from quirewise.llm.splitting import split_items
@@ -30,6 +31,24 @@ def p1_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, equations = table(spark, sf_dir, "pdf"), table(spark, sf_dir, "equation_index")
+    return pages.select(F.lit("pdf.text").alias("field"), F.col("page_id").alias("record_key"), "lang", "text").union(
+        equations.select(F.lit("equation_index.raw_fragments"), "record_id", F.lit("equation"), F.array_join("raw_fragments", "\n"))
+    )
+
+
+def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wrongly decoded records with their restored text."""
+    records = p3_records(spark, sf_dir)
+    return garbled(records, trained_on(records)).distinct()
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a wrongly decoded stretch."""
+    return p3_repaired(spark, sf_dir).select("field", "record_key").distinct()
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and equations that look the same but are written with other characters."""
     pages, equations = table(spark, sf_dir, "pdf"), table(spark, sf_dir, "equation_index")
@@ -51,7 +70,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_items(lengths, valid).select(F.col("item").alias("book"), F.col("first").alias("first_page"), F.col("last").alias("last_page"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p4_found": p4_found, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p6_found": p6_found}
 
 SQL = {
     "p1_found": r"""
