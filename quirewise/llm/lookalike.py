@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirewise.storage import cut
 
@@ -207,7 +208,7 @@ def canonical(records: DataFrame, counts: dict[str, int], column: str = "text")
             yield batch.append_column("canonical_text", pa.array(out, pa.string()))
 
     kept = records.drop("canonical_text")
-    schema = kept.schema.add("canonical_text", "string")
+    schema = T.StructType([*kept.schema.fields, T.StructField("canonical_text", T.StringType())])
     return kept.mapInArrow(run, schema)
 
 

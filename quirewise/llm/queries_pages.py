@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quirewise.llm.encoding import garbled, trained_on
 from quirewise.llm.lookalike import lookalike_pairs
 from quirewise.llm.repeated_lines import repeated_lines, without_lines
+from quirewise.llm.scans import scan_noise, scan_paragraphs
 from quirewise.llm.splitting import split_items
 from quirewise.storage import table
 
@@ -61,6 +62,21 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(records.where(r"text rlike '(?U)[^\\s\\x{1f}]'"))
 
 
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pdf").where("extraction_method = 'ocr'")
+    return pages.select("page_id", "book", "page_index", F.col("printed_page_label").alias("label"), "text")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken and misread words, running headers and page numbers of scanned pages."""
+    return scan_noise(_scanned(spark, sf_dir), table(spark, sf_dir, "pdf")).distinct()
+
+
+def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scanned pages as continuous paragraphs."""
+    return scan_paragraphs(_scanned(spark, sf_dir), table(spark, sf_dir, "pdf"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every book longer than 24 pages, cut where a chapter or section starts."""
     pages = table(spark, sf_dir, "pdf").where("book is not null and page_index is not null")
@@ -70,7 +86,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_items(lengths, valid).select(F.col("item").alias("book"), F.col("first").alias("first_page"), F.col("last").alias("last_page"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_found": p6_found}
 
 SQL = {
     "p1_found": r"""
