@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirewise.llm.abuse import fit, labelled, scored, source_rates
 from quirewise.llm.leakage import leaked
+from quirewise.llm.mixing import mixture_report, token_counts
 from quirewise.storage import table
 
 
@@ -20,5 +22,26 @@ def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.max(F.col("last_word") - F.col("first_word") + 1).cast("bigint").alias("longest"))
 
 
-QUERIES = {"p7_found": p7_found, "p7_items": p7_items}
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of the mixture of all documents by the target weights, in tokens of a public tokenizer."""
+    return mixture_report(token_counts(table(spark, sf_dir, "documents")), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its score, its worst sentence and the offending ones."""
+    documents = table(spark, sf_dir, "documents")
+    return scored(documents, fit(labelled(table(spark, sf_dir, "toxicity_labels"), documents)))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an abusive, hateful or sexual sentence."""
+    return p9_scores(spark, sf_dir).where("score >= 0.5").select("doc_id").distinct()
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of such documents by source."""
+    return source_rates(table(spark, sf_dir, "documents"), p9_scores(spark, sf_dir))
+
+
+QUERIES = {"p7_found": p7_found, "p7_items": p7_items, "p8_shares": p8_shares, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
 SQL: dict[str, str] = {}
