@@ -7,7 +7,9 @@ letters, letters spelled apart or repeated, stars) are brought to one form first
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -75,58 +77,95 @@ def noisy_or(scores: np.ndarray) -> float:
     return float(1 - np.prod(1 - scores)) if len(scores) else 0.0
 
 
-def fit(bags: list[tuple[list[str], float]], least: int = 3, steps: int = 300, penalty: float = 2e-4, rate: float = 0.3) -> SentenceModel:
-    """bags: (sentences, label as a share between 0 and 1). Equal sentences and features of fewer than `least` bags are left out."""
-    found = [[features(tokens(s)) for s in dict.fromkeys(parts)] for parts, _ in bags]
-    seen = Counter(f for bag in found for f in set().union(*bag) if bag) if bags else Counter()
-    index = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= least))}
-    rows, columns, owner = [], [], []
-    for b, bag in enumerate(found):
-        for fs in bag:
-            ids = [index[f] for f in fs if f in index]
-            rows += [len(owner)] * len(ids)
-            columns += ids
-            owner.append(b)
-    if not owner or not index:
+#: Score from which a document counts as abusive. The noisy-or of a fitted model leaves a gap between about 0.05 and 0.25; rare
+#: kinds of abuse, with few labels, end near its upper side.
+ABUSIVE = 0.2
+#: A labelled document: its sentences, the share of its raters who call it abusive, and their number.
+Bag = tuple[list[str], float, int]
+
+
+def fit(bags: list[Bag], others: list[list[str]] = (), prior: float = 0.02, error: float = 0.08, least: int = 3, lift: float = 1.3, rounds: int = 4, steps: int = 120, penalty: float = 0.7, rate: float = 0.3) -> SentenceModel:
+    """A sentence model from document labels; others: sentences of documents without a label.
+
+    The first round takes the raters' share as label, and `prior` for documents without one. Each further round takes what is most
+    likely by the model so far and by raters who err with the share `error`: what is usual in the corpus gains no weight from the few
+    labels it happens to stand beside, and wrong labels lose theirs. A feature is kept if it stands in at least `least` bags
+    called abusive, and there `lift` times as often as in the others.
+    """
+    n_bags = len(bags)
+    given = np.array([b[1] for b in bags] + [prior] * len(others), dtype=float)
+    raters = np.array([b[2] for b in bags] + [0] * len(others), dtype=float)
+    texts = [b[0] for b in bags] + list(others)
+    inside: Counter = Counter()
+    for parts, y in zip(texts, given):
+        if y >= 0.5:
+            inside.update(set().union(*[features(tokens(x)) for x in parts]))
+    inside = Counter({f: n for f, n in inside.items() if n >= least})
+    outside: Counter = Counter()
+    for parts, y in zip(texts, given):
+        if y < 0.5:
+            outside.update(set().union(*[features(tokens(x)) for x in parts]) & inside.keys())
+    a, b = max(1, int((given >= 0.5).sum())), max(1, int((given < 0.5).sum()))
+    index = {f: i for i, f in enumerate(sorted(f for f, n in inside.items() if n / a >= lift * outside[f] / b))}
+    rows, columns, owner = array("i"), array("i"), array("i")
+    for k, parts in enumerate(texts):
+        for x in dict.fromkeys(parts):
+            ids = [index[f] for f in features(tokens(x)) if f in index]
+            rows.extend([len(owner)] * len(ids))
+            columns.extend(ids)
+            owner.append(k)
+    if not len(columns):
         return SentenceModel({}, -4.0)
-    rows_, columns_, owner_ = np.array(rows), np.array(columns), np.array(owner)
-    # Labels of several raters err; a little doubt keeps single wrong ones from being learned by heart.
-    labels = np.clip(np.array([y for _, y in bags]), 0.03, 0.97)
-    w, bias = np.zeros(len(index)), -3.0
-    square, square_b = np.full(len(index), 1e-6), 1e-6
-    n = len(bags)
-    for _ in range(steps):
-        z = bias + np.bincount(rows_, w[columns_], len(owner_))
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        none = np.exp(np.bincount(owner_, np.log1p(-np.minimum(p, 1 - 1e-9)), n))
-        any_ = np.clip(1 - none, 1e-6, 1)
-        push = p * (labels * none / any_ - (1 - labels))[owner_]
-        grad = np.bincount(columns_, push[rows_], len(w)) / n - penalty * np.sign(w) * 0.5 - penalty * w
-        square += grad**2
-        w += rate * grad / np.sqrt(square)
-        g = push.sum() / n
-        square_b += g**2
-        bias += rate * g / np.sqrt(square_b)
-        small = np.abs(w) < 1e-4
-        w[small] = 0
-    return SentenceModel({f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-3}, float(bias))
-
-
-def labelled(labels: DataFrame, documents: DataFrame, most: int = 20_000) -> list[tuple[list[str], float]]:
-    """Bags of at most `most` labelled documents (the documented bound on the training sample, chosen by hash), with the mean of their raters.
-
-    Repeated rows of one rater count once, null labels not at all.
+    r, c, o = (np.frombuffer(x, dtype=np.int32) for x in (rows, columns, owner))
+    odds_of_votes = raters * (2 * given - 1) * math.log((1 - error) / error)
+    labels = np.clip(given, 0.03, 0.97)
+    labels[n_bags:] = prior
+    weight = np.ones(len(labels))
+    weight[n_bags:] = 0.3
+    n = weight.sum()
+    w, bias = np.zeros(len(index)), -4.0
+    for _ in range(rounds):
+        square, square_b = np.full(len(index), 1e-6), 1e-6
+        for _ in range(steps):
+            z = bias + np.bincount(r, w[c], len(o))
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            none = np.exp(np.bincount(o, np.log1p(-np.minimum(p, 1 - 1e-9)), len(labels)))
+            any_ = np.clip(1 - none, 1e-6, 1)
+            push = p * (weight * (labels * none / any_ - (1 - labels)))[o]
+            grad = np.bincount(c, push[r], len(w)) / n - penalty / n * (np.sign(w) + 0.3 * w)
+            square += grad**2
+            w += rate * grad / np.sqrt(square)
+            w[np.abs(w) < 2e-3] = 0
+            g = push.sum() / n
+            square_b += g**2
+            bias = min(bias + rate * g / np.sqrt(square_b), -3.0)
+        odds = np.log(np.clip(any_, 1e-4, 1 - 1e-4) / np.clip(1 - any_, 1e-4, 1)) + odds_of_votes
+        labels = np.clip(1 / (1 + np.exp(-odds)), 0.005, 0.97)
+    return SentenceModel({f: float(w[i]) for f, i in index.items() if w[i]}, float(bias))
+
+
+def training(labels: DataFrame, documents: DataFrame, most: int = 8_000, others: int = 4_000) -> tuple[list[Bag], list[list[str]]]:
+    """Bags of at most `most` labelled documents with the mean and number of their raters, and at most `others` documents without a label.
+
+    Both are the documented bounds on the training sample, chosen by hash; scoring covers all documents. Repeated rows of one rater count
+    once, null labels not at all.
     """
-    votes = labels.where("doc_id is not null and abusive is not null").groupBy("doc_id", "rater").agg(F.max("abusive").alias("vote")).groupBy("doc_id").agg(F.avg("vote").alias("share"), F.count("*").alias("raters"))
-    chosen = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = documents.where("text is not null").select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "share").distinct().collect()
-    return [(sentences(r.text), r.share) for r in sorted(rows, key=lambda r: r.doc_id)]
+    votes = (
+        labels.where("doc_id is not null and abusive is not null").groupBy("doc_id", "rater").agg(F.max("abusive").alias("vote"))
+        .groupBy("doc_id").agg(F.avg("vote").alias("share"), F.count("*").alias("raters"))
+    )
+    order = [F.xxhash64("doc_id", F.lit("train")), F.col("doc_id")]
+    chosen = votes.orderBy(*order).limit(most)
+    usable = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    rows = usable.join(chosen, "doc_id").select("doc_id", "text", "share", "raters").distinct().collect()
+    free = usable.join(votes.select("doc_id"), "doc_id", "left_anti").orderBy(*order).limit(others).collect()
+    return [(sentences(r.text), r.share, r.raters) for r in sorted(rows, key=lambda r: r.doc_id)], [sentences(r.text) for r in free]
 
 
 SCORED = "doc_id long, score double, worst int, sentence string, offending array<int>"
 
 
-def scored(documents: DataFrame, model: SentenceModel, threshold: float = 0.5) -> DataFrame:
+def scored(documents: DataFrame, model: SentenceModel, threshold: float = ABUSIVE) -> DataFrame:
     """(doc_id, score, worst, sentence, offending): noisy-or of a document's sentences, number and words of the worst one, and all sentences at
     or above threshold. A null or empty text scores 0; rows without doc_id are left out."""
 
@@ -145,7 +184,7 @@ def scored(documents: DataFrame, model: SentenceModel, threshold: float = 0.5) -
     return documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCORED)
 
 
-def source_rates(documents: DataFrame, scores: DataFrame, threshold: float = 0.5) -> DataFrame:
+def source_rates(documents: DataFrame, scores: DataFrame, threshold: float = ABUSIVE) -> DataFrame:
     """(source, documents, abusive, rate): the share of documents at or above threshold by source; spellings of one source count together."""
     name = F.coalesce(F.translate(F.lower(F.trim("source")), "_", "-"), F.lit(""))
     named = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), name.alias("source")).distinct()
