@@ -77,9 +77,9 @@ def noisy_or(scores: np.ndarray) -> float:
     return float(1 - np.prod(1 - scores)) if len(scores) else 0.0
 
 
-#: Score from which a document counts as abusive. The noisy-or of a fitted model leaves a gap between about 0.05 and 0.25; rare
+#: Score from which a document counts as abusive. The noisy-or of a fitted model leaves a gap between about 0.13 and 0.2; rare
 #: kinds of abuse, with few labels, end near its upper side.
-ABUSIVE = 0.2
+ABUSIVE = 0.17
 #: A labelled document: its sentences, the share of its raters who call it abusive, and their number.
 Bag = tuple[list[str], float, int]
 
