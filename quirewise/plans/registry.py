@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quirewise.plans import corpus, evidence, incremental
+from quirewise.plans import corpus, evidence, incremental, layout
 
-MODULES = [corpus, evidence, incremental]
+MODULES = [corpus, evidence, incremental, layout]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
