@@ -9,15 +9,23 @@ from __future__ import annotations
 
 import math
 import re
+import tempfile
+import uuid
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quirewise.storage import cut
+
 # What a scan may show, and the characters it may stand for.
 CONFUSIONS = {
     "0": "o O", "1": "l i I t", "5": "s S", "@": "a", "!": "i l I", "|": "l I i", "8": "B", "6": "b G", "9": "g q", "3": "e B", "4": "A", "7": "T",
@@ -45,49 +53,108 @@ def regular(word: str) -> bool:
     return all(p.islower() or p.isupper() or (p[:1].isupper() and p[1:].islower()) for p in re.split("[-’']", word) if p)
 
 
+def _most(word: str) -> int:
+    """Confusions a word may have and still be taken for a known one: one in four characters, two at least, and every sign that words don't have."""
+    return max(2, len(word) // 4) + sum(c in "@!|$€¢" or c.isdigit() for c in word)
+
+
+def _folded(word: str) -> str:
+    return word.lower().replace("‐", "-").replace("‑", "-")
+
+
+class MappedWords:
+    """The words of files that every task maps into memory, sorted by code point, with their counts: no task holds the vocabulary, however large."""
+
+    def __init__(self, name: str, size: int):
+        self.name, self.size, self._open = name, size, None
+
+    def __getstate__(self):
+        return {"name": self.name, "size": self.size, "_open": None}
+
+    def _files(self):
+        if self._open is None:
+            at = SparkFiles.get
+            self._open = tuple(np.memmap(at(f"{self.name}.{x}"), dtype=d, mode="r") for x, d in (("text", np.uint8), ("ends", np.int64), ("counts", np.int64)))
+        return self._open
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, i: int) -> str:
+        text, ends, _ = self._files()
+        return text[(ends[i - 1] if i else 0) : ends[i]].tobytes().decode()
+
+    def get(self, word: str, default: int = 0) -> int:
+        i = bisect_left(self, word)
+        return int(self._files()[2][i]) if i < self.size and self[i] == word else default
+
+
 @dataclass
 class Vocabulary:
-    counts: dict[str, int]
+    counts: dict[str, int] | MappedWords
     total: int = 0
+    longest: int = 0
     _cache: dict = field(default_factory=dict, repr=False)
+    _counts: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
+        mapped = isinstance(self.counts, MappedWords)
         self.total = self.total or max(1, sum(self.counts.values()))
-        self.longest = max(map(len, self.counts), default=0)
+        self.longest = self.longest or max(map(len, self.counts), default=0)
+        self.words = self.counts if mapped else sorted(self.counts)
 
     def count(self, word: str) -> int:
-        return self.counts.get(word.lower().replace("‐", "-").replace("‑", "-"), 0) if regular(word) else 0
+        n = self._counts.get(word)
+        if n is None:
+            if len(self._counts) > 200_000:
+                self._counts.clear()
+            n = self._counts[word] = self.counts.get(_folded(word), 0) if regular(word) else 0
+        return n
 
     def nepers(self, word: str) -> float:
         n = self.count(word)
         return math.log(self.total / n) if n else math.inf
 
-    def printed(self, word: str, most: int = 3) -> list[tuple[str, int]]:
+    def readings(self, text: str, start: int = 0) -> dict[int, dict[str, int]]:
+        """By end: the known words that the scan may show as text[start:end], with the fewest confusions each.
+
+        The sorted words are walked as a trie whose nodes are ranges of them, so only beginnings of known words go on, and none of those is cut.
+        How many confusions a word may have grows with its length: see `_most`.
+        """
+        words, out = self.words, {}
+        most = _most(text[start:])
+        states: list[dict[str, tuple[int, int, int]]] = [{} for _ in range(len(text) + 1)]
+        states[start][""] = (0, 0, len(words))
+        for i in range(start, len(text)):
+            for done, (n, low, high) in states[i].items():
+                steps = [(text[i], i + 1, n)]
+                if n < most:
+                    steps += [(p, i + 1, n + 1) for p in PRINTED.get(text[i], ())]
+                    steps += [(p, i + 2, n + 1) for p in PRINTED.get(text[i : i + 2], ()) if i + 2 <= len(text)] if i + 1 < len(text) else []
+                for p, j, k in steps:
+                    longer = done + p
+                    there = states[j].get(longer)
+                    if there is not None:
+                        if k < there[0]:
+                            states[j][longer] = (k, *there[1:])
+                        continue
+                    key = _folded(longer)
+                    a = bisect_left(words, key, low, high)
+                    if a < high and words[a].startswith(key):
+                        states[j][longer] = (k, a, bisect_left(words, key + "\U0010ffff", a, high))
+            for done, (n, low, _) in states[i + 1].items():
+                if n <= _most(text[start : i + 1]) and words[low] == _folded(done) and self.count(done):
+                    out.setdefault(i + 1, {})[done] = n
+        return out
+
+    def printed(self, word: str) -> list[tuple[str, int]]:
         """Known words that the scan may show as `word`, with the number of confusions, the fewest first."""
         if len(word) > 2 * self.longest:
             return []  # two characters at most stand for one: no known word is that long
         known = self._cache.get(word)
         if known is None:
-            found: dict[str, int] = {}
-            layer = {("", 0)}
-            states: list[set[tuple[str, int]]] = [set() for _ in range(len(word) + 1)]
-            states[0] = layer
-            odd = sum(c in "@!|$€¢" or c.isdigit() for c in word)
-            limit = min(6, most + max(0, odd - 1)) if odd else min(2, most)
-            for i in range(len(word)):
-                for done, n in states[i]:
-                    states[i + 1].add((done + word[i], n))
-                    if n < limit:
-                        for seen in (word[i], word[i : i + 2]):
-                            for p in PRINTED.get(seen, ()):
-                                states[i + len(seen)].add((done + p, n + 1)) if i + len(seen) <= len(word) and (len(seen) == 2 or seen == word[i]) else None
-                if len(states[i + 1]) > 3000:
-                    # A long word of many readings: the ones of fewest confusions go on.
-                    states[i + 1] = set(sorted(states[i + 1], key=lambda x: (x[1], x[0]))[:3000])
-            for done, n in states[-1]:
-                if n and self.count(done) and n < found.get(done, 99):
-                    found[done] = n
-            known = sorted(found.items(), key=lambda x: (x[1], -self.count(x[0]), x[0]))
+            found = self.readings(word).get(len(word), {})
+            known = sorted(((w, n) for w, n in found.items() if n), key=lambda x: (x[1], -self.count(x[0]), x[0]))
             if len(self._cache) > 100_000:
                 self._cache.clear()
             self._cache[word] = known
@@ -129,14 +196,14 @@ class Vocabulary:
                 continue
             start_bits = 0.0 if i == 0 or i in ends else NEPERS_SPACE
             stop = next(e for e in inside if e > i)
-            for j in range(i + 1, min(len(flat), i + 40) + 1):
+            for j in range(i + 1, min(len(flat), i + 2 * max(self.longest, stop - i)) + 1):
                 lost = sum(1 for e in inside if i < e < j)
                 if lost > 2:
                     break
                 part = flat[i:j]
                 options = [(self.nepers(part), part)]
                 if j in ends or i in ends or i == 0:
-                    options += [(self.nepers(w) + NEPERS_CONFUSED * n, w) for w, n in (self.printed(part)[:3] if len(part) > 2 else [])]
+                    options += [(self.nepers(w) + NEPERS_CONFUSED * n, w) for w, n in (self.printed(part) if len(part) > 2 else [])]
                 if j == stop and start_bits == 0:
                     options.append((NEPERS_UNKNOWN + math.log(self.total), part))
                 for c, w in options:
@@ -376,12 +443,39 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def vocabulary(texts: DataFrame, least: int = 2, most: int = 300_000) -> Vocabulary:
-    """Words with their counts over all texts; the `most` frequent of at least `least` occurrences, a bound on what each task holds.
-    A word beyond the bound is never changed, as it counts as unknown."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw = [w.encode() for w in batch.column("word").to_pylist()]
+        sizes = np.array([len(r) for r in raw], dtype=np.int64)
+        counts = np.array(batch.column("n").to_pylist(), dtype=np.int64)
+        longest = max((len(w) for w in batch.column("word").to_pylist()), default=0)
+        columns = [pa.array([x], t) for x, t in ((b"".join(raw), pa.binary()), (sizes.tobytes(), pa.binary()), (counts.tobytes(), pa.binary()), (longest, pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, ["text", "sizes", "counts", "longest"])
+
+
+def vocabulary(texts: DataFrame, least: int = 2) -> Vocabulary:
+    """All words of at least `least` occurrences with their counts over all texts, in files that the tasks map into memory.
+
+    The driver writes them a partition at a time, so it holds no more of them than that either.
+    """
+    context = texts.sparkSession.sparkContext
     counted = texts.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).toArrow()
-    return Vocabulary(dict(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist())))
+    rows = cut(counted.where(F.col("n") >= least), "words").orderBy("word").mapInArrow(_packed, "text binary, sizes binary, counts binary, longest int")
+    name, folder = f"words-{uuid.uuid4().hex}", Path(tempfile.mkdtemp(prefix="quirewise-"))
+    size, end, total, longest = 0, 0, 0, 0
+    with (folder / f"{name}.text").open("wb") as text, (folder / f"{name}.ends").open("wb") as ends, (folder / f"{name}.counts").open("wb") as counts:
+        for r in rows.toLocalIterator():
+            sizes = np.frombuffer(r.sizes, dtype=np.int64)
+            text.write(r.text)
+            ends.write((np.cumsum(sizes) + end).tobytes())
+            counts.write(r.counts)
+            size, end, longest = size + len(sizes), end + len(r.text), max(longest, r.longest)
+            total += int(np.frombuffer(r.counts, dtype=np.int64).sum())
+    if not size:
+        return Vocabulary({})
+    for x in ("text", "ends", "counts"):
+        context.addFile(str(folder / f"{name}.{x}"))
+    return Vocabulary(MappedWords(name, size), total, longest)
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

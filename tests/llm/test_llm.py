@@ -150,6 +150,17 @@ def test_scan_tables(spark):
     assert {r.page_id for r in scans.scan_paragraphs(df, texts).collect()} == {"p1"}
 
 
+def test_scan_long_words_keep_their_reading(spark):
+    words = "instrumentenkalibrierung instrumentenkalender electroencephalographically the signal".split()
+    v = scans.Vocabulary({w: 50 for w in words})
+    assert v.misread("1nstrumentenkal1br1erung").lower() == "instrumentenkalibrierung"
+    assert v.misread("eleetroeneephalograpbically") == "electroencephalographically"  # three letters for letters
+    texts = spark.createDataFrame([(" ".join(words * 3),), (None,)], "text string")
+    mapped = scans.vocabulary(texts)
+    assert [mapped.words[i] for i in range(len(mapped.words))] == sorted(words) and mapped.total == 15 and mapped.longest == 27
+    assert mapped.count("signal") == 3 and mapped.count("zebra") == 0 and mapped.misread("1nstrumentenkal1br1erung").lower() == "instrumentenkalibrierung"
+
+
 def cut_by_walk(length, natural):
     out, s = [], 1
     while True:
