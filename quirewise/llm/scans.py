@@ -1,13 +1,15 @@
 """Noise in text from scanned pages: broken and misread words, running headers, page numbers, lines instead of paragraphs.
 
-A page's furniture is set aside first; its body becomes one character stream without lines, in which a word may be split, merged,
-confused or hyphenated. Words the vocabulary knows stand as they are; around every other one the cheapest way to write the
-stream by vocabulary words is decoded (by a Viterbi search over the stream's positions). Paragraph boundaries are chosen by dynamic programming.
+A page's furniture is set aside first. In each line of its body the words are decoded together: the cheapest path through the line's tokens writes
+one token alone, or several anew by vocabulary words, with spaces lost, spaces too many and confusions. No step crosses a line's end but a
+word broken by a hyphen, which is judged with its other part before. Paragraphs decode around unknown words only; their boundaries
+are chosen by dynamic programming.
 """
 
 from __future__ import annotations
 
 import math
+import mmap
 import re
 import tempfile
 import uuid
@@ -15,6 +17,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate, zip_longest
 from pathlib import Path
 
 import numpy as np
@@ -73,8 +76,11 @@ class MappedWords:
 
     def _files(self):
         if self._open is None:
-            at = SparkFiles.get
-            self._open = tuple(np.memmap(at(f"{self.name}.{x}"), dtype=d, mode="r") for x, d in (("text", np.uint8), ("ends", np.int64), ("counts", np.int64)))
+            mapped = []
+            for x in ("text", "ends", "counts"):
+                with open(SparkFiles.get(f"{self.name}.{x}"), "rb") as f:
+                    mapped.append(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+            self._open = (mapped[0], memoryview(mapped[1]).cast("q"), memoryview(mapped[2]).cast("q"))
         return self._open
 
     def __len__(self) -> int:
@@ -82,7 +88,7 @@ class MappedWords:
 
     def __getitem__(self, i: int) -> str:
         text, ends, _ = self._files()
-        return text[(ends[i - 1] if i else 0) : ends[i]].tobytes().decode()
+        return text[(ends[i - 1] if i else 0) : ends[i]].decode()
 
     def get(self, word: str, default: int = 0) -> int:
         i = bisect_left(self, word)
@@ -95,12 +101,22 @@ class Vocabulary:
     total: int = 0
     longest: int = 0
     _cache: dict = field(default_factory=dict, repr=False)
+    most: list[int] = field(default_factory=list)
+    _begins: dict = field(default_factory=dict, repr=False)
     _counts: dict = field(default_factory=dict, repr=False)
+    _ranges: dict = field(default_factory=dict, repr=False)
+    _written: dict = field(default_factory=dict, repr=False)
+    _alone: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         mapped = isinstance(self.counts, MappedWords)
         self.total = self.total or max(1, sum(self.counts.values()))
         self.longest = self.longest or max(map(len, self.counts), default=0)
+        if not self.most and not mapped:
+            self.most = [0] * (self.longest + 2)
+            for w, n in self.counts.items():
+                self.most[len(w)] = max(self.most[len(w)], n)
+        self.most = list(accumulate(reversed(self.most), max))[::-1]
         self.words = self.counts if mapped else sorted(self.counts)
 
     def count(self, word: str) -> int:
@@ -115,8 +131,20 @@ class Vocabulary:
         n = self.count(word)
         return math.log(self.total / n) if n else math.inf
 
-    def readings(self, text: str, start: int = 0) -> dict[int, dict[str, int]]:
-        """By end: the known words that the scan may show as text[start:end], with the fewest confusions each.
+    def _range(self, start: str, low: int, high: int) -> tuple[int, int] | None:
+        """The words that begin so, of those from low to high; None if there are none."""
+        if start in self._ranges:
+            return self._ranges[start]
+        a = bisect_left(self.words, start, low, high)
+        out = (a, bisect_left(self.words, start + "\U0010ffff", a, high)) if a < high and self.words[a].startswith(start) else None
+        if len(self._ranges) > 300_000:
+            self._ranges.clear()
+        self._ranges[start] = out
+        return out
+
+    def readings(self, text: str, start: int = 0, beyond: bool = False) -> dict[int, dict[str, int]] | bool:
+        """By end: the known words that the scan may show as text[start:end], with the fewest confusions each; or (beyond) only whether
+        the text may begin a longer one.
 
         The sorted words are walked as a trie whose nodes are ranges of them, so only beginnings of known words go on, and none of those is cut.
         How many confusions a word may have grows with its length: see `_most`.
@@ -138,13 +166,14 @@ class Vocabulary:
                         if k < there[0]:
                             states[j][longer] = (k, *there[1:])
                         continue
-                    key = _folded(longer)
-                    a = bisect_left(words, key, low, high)
-                    if a < high and words[a].startswith(key):
-                        states[j][longer] = (k, a, bisect_left(words, key + "\U0010ffff", a, high))
+                    inside = self._range(_folded(longer), low, high)
+                    if inside:
+                        states[j][longer] = (k, *inside)
             for done, (n, low, _) in states[i + 1].items():
                 if n <= _most(text[start : i + 1]) and words[low] == _folded(done) and self.count(done):
                     out.setdefault(i + 1, {})[done] = n
+        if beyond:
+            return any(high - low > 1 or words[low] != _folded(done) for done, (_, low, high) in states[-1].items())
         return out
 
     def printed(self, word: str) -> list[tuple[str, int]]:
@@ -213,6 +242,123 @@ class Vocabulary:
         return " ".join(best[-1][1]) if best[-1][1] else stream
 
 
+    def alternatives(self, chunk: str, several: bool) -> tuple[float, frozenset[int]] | None:
+        """The cheapest way to write a chunk without spaces by known words, spaces left out between them, and where its first characters differ
+        from the printed ones: the cost, and the positions of those characters. None if no words write it; `several`: two words or more."""
+        if (chunk, several) in self._written:
+            return self._written[chunk, several]
+        best: list[tuple[float, tuple[int, ...]]] = [(math.inf, ())] * (len(chunk) + 1)
+        best[0] = (-NEPERS_SPACE, ())
+        for i in range(len(chunk)):
+            cost, wrong = best[i]
+            if cost == math.inf:
+                continue
+            for j, words in self.readings(chunk, i).items():
+                if j - i < 2 or (several and j - i == len(chunk)):
+                    continue  # a single letter beside a lost space is no evidence
+                for w, n in words.items():
+                    if n and j - i < 3:
+                        continue
+                    total = cost + NEPERS_SPACE + self.nepers(w) + NEPERS_CONFUSED * n
+                    if total < best[j][0]:
+                        best[j] = (total, (*wrong, *self._differs(chunk, i, j, w))) if n else (total, wrong)
+        out = (best[-1][0], frozenset(best[-1][1])) if best[-1][0] < math.inf else None
+        if len(self._written) > 100_000:
+            self._written.clear()
+        self._written[chunk, several] = out
+        return out
+
+    @staticmethod
+    def _differs(chunk: str, start: int, end: int, word: str) -> list[int]:
+        """Positions of chunk[start:end] whose characters aren't those of the word, by the longest common start and end."""
+        shown = chunk[start:end]
+        a = 0
+        while a < min(len(shown), len(word)) and shown[a] == word[a]:
+            a += 1
+        b = 0
+        while b < min(len(shown), len(word)) - a and shown[-1 - b] == word[-1 - b]:
+            b += 1
+        return list(range(start + a, max(start + a + 1, end - b)))
+
+    def unknown(self, chunk: str) -> float:
+        """The cost of a chunk that no word writes; longer ones cost more, as more confusions are possible in them."""
+        return NEPERS_UNKNOWN + math.log(self.total) + NEPERS_CONFUSED * len(chunk) / 8
+
+    def alone(self, word: str) -> tuple[float, bool]:
+        """The cost of a token as one word, and whether it is misread."""
+        out = self._alone.get(word)
+        if out is None:
+            if _wrong(word, self):
+                meant = self.misread(word)
+                n = min((k for w, k in self.printed(word) if w == meant), default=1) if meant else 1
+                out = ((self.nepers(meant) if meant else math.log(self.total)) + NEPERS_CONFUSED * n, True)
+            else:
+                out = (min(self.nepers(word), self.unknown(word)), False)
+            if len(self._alone) > 200_000:
+                self._alone.clear()
+            self._alone[word] = out
+        return out
+
+    def begins(self, text: str) -> bool:
+        """Whether a longer known word begins as the scan may show it here."""
+        if text not in self._begins:
+            if len(self._begins) > 200_000:
+                self._begins.clear()
+            self._begins[text] = self.readings(text, beyond=True)
+        return self._begins[text]
+
+    def cheapest(self, length: int) -> float:
+        """The cost of the most frequent word of at least this length: a lower bound."""
+        n = self.most[min(max(length, 0), len(self.most) - 1)] if self.most else 0
+        return math.log(self.total / n) if n else math.inf
+
+
+def misread_tokens(tokens: list[str], vocabulary: Vocabulary) -> list[bool]:
+    """Which tokens show other characters than printed, on the cheapest path through the tokens' stream.
+
+    A step of the path is one token alone, or several without punctuation between them written anew by known words, with spaces lost (merged words),
+    spaces too many (split words) and confusions in one.
+    """
+    words = [core(t) for t in tokens]
+    judged = [len(w) > 1 and any(c.isalpha() for c in w) for w in words]
+    free = [w.isalpha() or any(c in "@!|$€¢" or c.isdigit() for c in w) and any(c.isalpha() for c in w) and not _ID.fullmatch(w) for w in words]
+    free = [f and all(c.isalnum() or c in "@!|$€¢" for c in w) for f, w in zip(free, words)]
+    alone = [vocabulary.alone(w) if j else (min(vocabulary.nepers(w), vocabulary.unknown(w)) if f else 0.0, False) for w, j, f in zip(words, judged, free)]
+    doubtful = [f and (a[1] or not vocabulary.count(w)) for w, a, f in zip(words, alone, free)]
+    floor = vocabulary.cheapest(0)
+    best: list[tuple[float, int, frozenset[int]]] = [(0.0, 0, frozenset())] + [(math.inf, 0, frozenset())] * len(tokens)
+    for i, word in enumerate(words):
+        cost = best[i][0] + alone[i][0]
+        if cost < best[i + 1][0]:
+            best[i + 1] = (cost, i, frozenset([i]) if alone[i][1] else frozenset())
+        chunk, starts, apart = "", [], 0.0
+        for j in range(i, len(words)):
+            if not free[j] or (j > i and (tokens[j - 1] != "" and not tokens[j - 1].endswith(words[j - 1]) or not tokens[j].startswith(words[j]))):
+                break
+            starts.append(len(chunk))
+            chunk += words[j]
+            apart += alone[j][0]
+            # What can't be cheaper than the tokens apart isn't looked at: a space in or out costs NEPERS_SPACE, a word what the most frequent one of
+            # its length does; and where every token is a known word, only a confusion makes a difference.
+            own = NEPERS_SPACE * (j - i) + (0.0 if any(doubtful[i : j + 1]) else NEPERS_CONFUSED)
+            whole = j > i and apart > own + vocabulary.cheapest(len(chunk) - _most(chunk))
+            if len(chunk) > 2 and (whole or apart > own + NEPERS_SPACE + 2 * floor):
+                known = vocabulary.alternatives(chunk, j == i)
+                if known and best[i][0] + known[0] + NEPERS_SPACE * (j - i) < best[j + 1][0]:
+                    wrong = frozenset(i + max(k for k, a in enumerate(starts) if a <= at) for at in known[1])
+                    best[j + 1] = (best[i][0] + known[0] + NEPERS_SPACE * (j - i), i, wrong)
+            # A group goes on while a longer known word can begin with it.
+            if j + 1 < len(words) and not (doubtful[j] and j == i) and not doubtful[j + 1] and not vocabulary.begins(chunk):
+                break
+    out, at = [False] * len(tokens), len(tokens)
+    while at:
+        _, came, wrong = best[at]
+        for k in wrong:
+            out[k] = True
+        at = came
+    return out
+
+
 def core(token: str) -> str:
     """A token without the punctuation around it; signs that stand for letters stay."""
     return token.strip(".,;:()“”‘’\"'?[]«»„…–—")
@@ -342,11 +488,8 @@ def marks(text: str, label: str | None, index: int | None, titles: set[str], voc
                 out.append((i, "hyphen"))
             continued.add(flow[onward])
             last -= 1
-        for token in tokens[first:last]:
-            word = core(token)
-            if len(word) > 1 and any(c.isalpha() for c in word) and _wrong(word, vocabulary):
-                out.append((i, "misread"))
-                break
+        if any(misread_tokens(tokens[first:last], vocabulary)):
+            out.append((i, "misread"))
     return out
 
 
@@ -448,9 +591,10 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = [w.encode() for w in batch.column("word").to_pylist()]
         sizes = np.array([len(r) for r in raw], dtype=np.int64)
         counts = np.array(batch.column("n").to_pylist(), dtype=np.int64)
-        longest = max((len(w) for w in batch.column("word").to_pylist()), default=0)
-        columns = [pa.array([x], t) for x, t in ((b"".join(raw), pa.binary()), (sizes.tobytes(), pa.binary()), (counts.tobytes(), pa.binary()), (longest, pa.int32()))]
-        yield pa.RecordBatch.from_arrays(columns, ["text", "sizes", "counts", "longest"])
+        most = np.zeros(max((len(w) for w in batch.column("word").to_pylist()), default=0) + 2, dtype=np.int64)
+        np.maximum.at(most, [len(w) for w in batch.column("word").to_pylist()], counts)
+        columns = [pa.array([x], t) for x, t in ((b"".join(raw), pa.binary()), (sizes.tobytes(), pa.binary()), (counts.tobytes(), pa.binary()), (most.tolist(), pa.list_(pa.int64())))]
+        yield pa.RecordBatch.from_arrays(columns, ["text", "sizes", "counts", "most"])
 
 
 def vocabulary(texts: DataFrame, least: int = 2) -> Vocabulary:
@@ -460,22 +604,23 @@ def vocabulary(texts: DataFrame, least: int = 2) -> Vocabulary:
     """
     context = texts.sparkSession.sparkContext
     counted = texts.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = cut(counted.where(F.col("n") >= least), "words").orderBy("word").mapInArrow(_packed, "text binary, sizes binary, counts binary, longest int")
+    rows = cut(counted.where(F.col("n") >= least), "words").orderBy("word").mapInArrow(_packed, "text binary, sizes binary, counts binary, most array<long>")
     name, folder = f"words-{uuid.uuid4().hex}", Path(tempfile.mkdtemp(prefix="quirewise-"))
-    size, end, total, longest = 0, 0, 0, 0
+    size, end, total, most = 0, 0, 0, []
     with (folder / f"{name}.text").open("wb") as text, (folder / f"{name}.ends").open("wb") as ends, (folder / f"{name}.counts").open("wb") as counts:
         for r in rows.toLocalIterator():
             sizes = np.frombuffer(r.sizes, dtype=np.int64)
             text.write(r.text)
             ends.write((np.cumsum(sizes) + end).tobytes())
             counts.write(r.counts)
-            size, end, longest = size + len(sizes), end + len(r.text), max(longest, r.longest)
+            size, end = size + len(sizes), end + len(r.text)
             total += int(np.frombuffer(r.counts, dtype=np.int64).sum())
+            most = [max(a, b) for a, b in zip_longest(most, r.most, fillvalue=0)]
     if not size:
         return Vocabulary({})
     for x in ("text", "ends", "counts"):
         context.addFile(str(folder / f"{name}.{x}"))
-    return Vocabulary(MappedWords(name, size), total, longest)
+    return Vocabulary(MappedWords(name, size), total, len(most) - 2, most=most)
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

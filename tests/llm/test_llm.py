@@ -161,6 +161,16 @@ def test_scan_long_words_keep_their_reading(spark):
     assert mapped.count("signal") == 3 and mapped.count("zebra") == 0 and mapped.misread("1nstrumentenkal1br1erung").lower() == "instrumentenkalibrierung"
 
 
+def test_scan_words_are_decoded_together():
+    clean = "the instrument describes another reliable vessel of this model"
+    v = scans.Vocabulary({w: 50 for w in clean.split()})
+    wrong = lambda line: scans.misread_tokens(line.split(), v)
+    assert wrong("the instru rnent describes") == [False, False, True, False]  # split and misread: it shows where the character stands
+    assert wrong("anothervesse1 model") == [True, False] and wrong("relia bleve55el") == [False, True]
+    assert not any(wrong("the instru ment describes anothervessel")) and not any(wrong("Havhavdko of the model, Ilykesosk"))
+    assert scans.marks("the reliable instru rnent\nof this model", "7", 6, set(), v) == [(0, "misread")]
+
+
 def cut_by_walk(length, natural):
     out, s = [], 1
     while True:
