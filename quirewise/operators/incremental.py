@@ -3,10 +3,11 @@
 Two parts: `pending_keys` finds what no committed run has taken in, and `IncrementalFolder` runs batches whose output and
 watermark become visible in one step.
 
-Method: the rows' commit sequence is monotonic. At the start of a run the highest sequence there is fixed as the upper limit;
-everything above it waits for the next run. The watermark is the highest sequence up to which every row has been taken in:
-keys all of whose rows lie at or below it need no comparison. Rows that arrive late below an old limit keep the
-watermark down until a run takes them in, so nothing is skipped.
+Method: the highest sequence at the start of a run is fixed as its upper limit; everything above it waits for the next run.
+The watermark is the highest sequence up to which every row has been taken in. Sequences have gaps that may be filled late, so
+`IncrementalFolder` also records what it has taken in above the watermark (and below the first sequence it saw): a row that arrives
+late is taken in by the next run, wherever it lies. `pending_keys` has no state of its own: it derives the watermark from the
+ranges of the committed runs, and compares only keys with a row above it.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirewise.storage import cut
+
 #: A sequence is a signed 64-bit number; a dyadic block of level k holds 2**k of them.
 LEVELS = 62
 
@@ -93,9 +96,16 @@ def pending_keys(
     committed = runs.where(normal_state("outcome") == "committed").select(
         F.col("first_sequence").cast("bigint"), F.col("last_sequence").cast("bigint"), "started_at"
     )
-    seen = latest_covering_start(once, committed).withColumn("taken", F.coalesce(F.col("arrived_at") <= F.col("covered_until"), F.lit(False)))
+    covered = latest_covering_start(once, committed).withColumn("taken", F.coalesce(F.col("arrived_at") <= F.col("covered_until"), F.lit(False)))
+    seen = cut(covered.select("sequence", "taken", "row", *[F.col(f"row.{k}").alias(k) for k in key]), "taken")
+    # The watermark lies below the lowest row that isn't taken in: keys whose rows all lie at or below it are as they were taken in.
+    first_open = seen.where(~F.col("taken")).agg(F.min("sequence")).first()[0]
+    if first_open is None:
+        return given.select(*key).limit(0)
+    above = seen.where(F.col("sequence") >= F.lit(first_open)).select(*key).distinct()
     return (
-        seen.groupBy(*[F.col(f"row.{k}").alias(k) for k in key])
+        seen.join(above, key, "left_semi")
+        .groupBy(*key)
         .agg(F.max_by("row", "sequence").alias("now"), F.max_by("row", F.when(F.col("taken"), F.col("sequence"))).alias("then"), F.max("taken").alias("any_taken"))
         .where(~F.col("any_taken") | ~F.expr(" and ".join(f"now.{n} <=> then.{n}" for n in names) or "true"))
         .select(*key)
@@ -105,9 +115,10 @@ def pending_keys(
 class IncrementalFolder:
     """Runs over a growing table, whose outputs and watermarks are committed together.
 
-    A run writes its rows into a hidden folder, then a manifest with the watermark beside them, then renames the folder to its
+    A run writes the sequences it takes in and its rows into a hidden folder, then a manifest with the watermark beside them, then renames the folder to its
     final name `run-N`; the rename is the commit. A folder without that name is ignored and removed by the next run, so a
-    failure at any point repeats or skips nothing. If two runs race for one number, the rename of the second fails.
+    failure at any point repeats or skips nothing. A sequence counts as one row: redelivered, it isn't taken in again; a row without sequence
+    never is. Between the first sequence and the watermark all are taken in; beyond them, taken sequences are recorded one by one. If two runs race for one number, the rename of the second fails.
     """
 
     def __init__(self, spark: SparkSession, folder: str, sequence: str = "sequence"):
@@ -128,30 +139,56 @@ class IncrementalFolder:
         return [json.loads(self.spark.read.text(f"{self.folder}/{n}/manifest").first()[0]) for n in names]
 
     def watermark(self) -> int | None:
+        """The highest sequence up to which, from the first one on, all have been taken in."""
         last = self.committed()[-1:]
         return last[0]["watermark"] if last else None
 
+    def taken(self) -> DataFrame:
+        """The sequences of all committed runs."""
+        return self.spark.read.parquet(*[f"{self.folder}/run-{m['run']}/taken" for m in self.committed()])
+
     def results(self) -> DataFrame:
         """The rows of all committed runs."""
         return self.spark.read.parquet(*[f"{self.folder}/run-{m['run']}/data" for m in self.committed()])
 
     def run(self, source: DataFrame, step: Callable[[DataFrame], DataFrame]) -> dict | None:
-        """Process what lies above the watermark and at or below the highest sequence at the start; None if there is nothing."""
+        """Process what no run has taken in, at or below the highest sequence at the start; None if there is nothing."""
         for name in self._names():
             if name.startswith(".try-"):
                 self.fs.delete(self._path(name), True)
-        low, runs = self.watermark(), len(self.committed())
-        high = source.agg(F.max(self.sequence)).first()[0]
-        if high is None or (low is not None and high <= low):
+        name, before = self.sequence, self.committed()
+        start, low = (before[-1]["from"], before[-1]["watermark"]) if before else (None, None)
+        high = source.agg(F.max(name)).first()[0]
+        if high is None:
             return None
-        batch = source.where(F.col(self.sequence) <= F.lit(high))
-        if low is not None:
-            batch = batch.where(F.col(self.sequence) > F.lit(low))
+        new = source.where(F.col(name) <= F.lit(high)).select(name).distinct()
+        beyond = None
+        if before:
+            outside = (F.col(name) < F.lit(start)) | (F.col(name) > F.lit(low))
+            beyond = self.taken().where(outside)
+            new = new.where(outside).join(beyond, name, "left_anti")
         trial = f".try-{uuid.uuid4().hex}"
-        manifest = {"run": runs + 1, "above": low, "watermark": high}
-        step(batch).write.parquet(f"{self.folder}/{trial}/data")
-        self.spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{self.folder}/{trial}/manifest")
-        final = self._path(f"run-{runs + 1}")
+        # Written first: rows that arrive meanwhile are in neither the record nor the batch.
+        new.write.parquet(f"{self.folder}/{trial}/taken")
+        new = self.spark.read.parquet(f"{self.folder}/{trial}/taken")
+        lowest = new.agg(F.min(name)).first()[0]
+        if lowest is None:
+            self.fs.delete(self._path(trial), True)
+            return None
+        step(source.join(new, name, "left_semi")).write.parquet(f"{self.folder}/{trial}/data")
+        start = lowest if start is None else start
+        known = new if beyond is None else new.union(beyond)
+        reached = self._filled(known, start - 1 if low is None else low)
+        manifest = {"run": len(before) + 1, "above": low, "watermark": reached}
+        self.spark.createDataFrame([(json.dumps(manifest | {"from": start}),)], "value string").coalesce(1).write.text(f"{self.folder}/{trial}/manifest")
+        final = self._path(f"run-{len(before) + 1}")
         if self.fs.exists(final) or not self.fs.rename(self._path(trial), final):
-            raise RuntimeError(f"another run has committed run-{runs + 1}; nothing of this one is visible")
+            raise RuntimeError(f"another run has committed run-{len(before) + 1}; nothing of this one is visible")
         return manifest
+
+    def _filled(self, known: DataFrame, low: int) -> int:
+        """The highest sequence up to which all above low are known."""
+        s = known.select(F.col(self.sequence).cast("bigint").alias("s")).where(F.col("s") > F.lit(low)).distinct()
+        if not s.where(F.col("s") == F.lit(low + 1)).limit(1).count():
+            return low
+        return s.join(s.select((F.col("s") - 1).alias("s")), "s", "left_anti").agg(F.min("s")).first()[0]

@@ -83,6 +83,17 @@ def test_incremental_folder_survives_failures(spark, tmp_path):
     assert not [n for n in folder._names() if n.startswith(".try")]
 
 
+def test_incremental_folder_takes_in_late_rows(spark, tmp_path):
+    folder = IncrementalFolder(spark, f"file://{tmp_path}/late")
+    run = lambda *s: folder.run(spark.createDataFrame([(x,) for x in s], "sequence long"), lambda b: b)
+    assert run(5, 6, 9, 9) == {"run": 1, "above": None, "watermark": 6}
+    assert run(5, 6, 9) is None
+    assert run(5, 6, 7, 9, 12, None) == {"run": 2, "above": 6, "watermark": 7}  # 7 comes late
+    assert run(2, 5, 6, 7, 8, 9, 12) == {"run": 3, "above": 7, "watermark": 9}  # 8 fills the gap, 2 lies below all
+    assert run(2, 5, 6, 7, 8, 9, 12) is None
+    assert sorted(r.sequence for r in folder.results().collect()) == [2, 5, 6, 7, 8, 9, 9, 12]
+
+
 def test_suppression_by_brute_force(spark):
     rng = random.Random(2)
     rows = []
