@@ -48,6 +48,21 @@ def test_repeated_lines_by_brute_force(spark):
     assert repeated_lines.repeated_lines(pages(spark, [])).count() == 0
 
 
+def test_near_lines_are_linked_by_similarity(spark):
+    from quirewise.llm.linekeys import similar
+
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    notice = word(120)
+    family = [notice[:i] + "zz" + notice[i + 2 :] for i in range(0, 112, 4)]  # on one page each
+    frame = word(34)
+    body = [frame[:17] + word(9) + frame[17:] for _ in range(60)]  # built alike, but less than 0.8 similar
+    assert not any(similar(a, b, 0.8) for i, a in enumerate(body) for b in body[:i])
+    rows = [(f"p{i}", "s", f"b{i % 4}", None, f"{family[i] if i < len(family) else ''}\n{body[i]}") for i in range(60)]
+    got = {(r.page_id, r.line_no): r.cluster for r in repeated_lines.repeated_lines(pages(spark, rows), similarity=0.8).collect()}
+    assert set(got) == {(f"p{i}", 0) for i in range(len(family))} and len(set(got.values())) == 1
+
+
 def test_signatures_estimate_similarity():
     rng = random.Random(3)
     same = []
