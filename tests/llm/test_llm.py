@@ -116,6 +116,15 @@ def test_garbled_edges(spark, model):
     assert encoding.trained_on(df).dictionaries
 
 
+def test_rare_characters_are_counted_over_all_records(spark):
+    plain = "la température reste stable et la mesure est déjà décrite ici"
+    rows = [("f", str(i), "fr", plain) for i in range(3000)] + [("f", f"r{i}", "fr", f"{plain} çò") for i in range(3)]
+    model = encoding.trained_on(spark.createDataFrame(rows, "field string, record_key string, lang string, text string"), each=50)
+    assert "ò" in model.bits  # in 3 of 3003 records, and likely in none of the sample
+    bad = f"{plain} ò".replace("ò", "ò".encode().decode("latin-1"))
+    assert encoding.repair(bad, model)[0] == f"{plain} ò"
+
+
 def test_lookalikes_same_and_different():
     c = lookalike.Canonizer({"решётка": 5, "größer": 9, "сор": 4})
     same = [("ｐｒｅｓｓｕｒｅ", "pressure"), ("рrеѕѕurе", "pressure"), ("ﬁeld", "field"), ("été", "été"), ("pres​sure", "pressure"), ("5 K", "5 K"), ("well‐defined", "well-defined"), ("µm", "μm"), ("peшёткa", "решётка"), ("сор", "cop"), ("Å", "Å")]
