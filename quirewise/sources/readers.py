@@ -11,14 +11,15 @@ PLAN = "schema_version int, items array<struct<source_id:string,pdf_path:string,
 
 
 def binary_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", most_bytes: int = 512_000_000, most_files: int = 10_000) -> DataFrame:
-    """(path, byte_size, sha256, has_header) of the files below a folder. A file above most_bytes isn't read; more than
-    most_files raise an error, none is dropped."""
+    """(path, byte_size, sha256, has_header) of the files below a folder. A file above most_bytes or more than most_files raise
+    an error, none is dropped."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
-    count = files.select("path").count()
+    count, large, one = files.select(F.count("path"), F.count(F.when(F.col("length") > most_bytes, 1)), F.min(F.when(F.col("length") > most_bytes, F.col("path")))).first()
     if count > most_files:
         raise ValueError(f"{count} files; the limit is {most_files}")
-    bounded = files.where(F.col("length") <= most_bytes)
-    return bounded.select("path", F.col("length").alias("byte_size"), F.sha2("content", 256).alias("sha256"), (F.hex(F.substring("content", 1, 5)) == "255044462D").alias("has_header"))
+    if large:
+        raise ValueError(f"{large} files above {most_bytes} bytes, among them {one}")
+    return files.select("path", F.col("length").alias("byte_size"), F.sha2("content", 256).alias("sha256"), (F.hex(F.substring("content", 1, 5)) == "255044462D").alias("has_header"))
 
 
 def ocr_table(spark: SparkSession, path: str) -> DataFrame:

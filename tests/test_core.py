@@ -196,6 +196,14 @@ def test_sources(spark, tmp_path):
         readers.publish_once(spark.range(4), out)
 
 
+def test_oversized_files_raise(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.7 x")
+    (tmp_path / "b.pdf").write_bytes(b"no")
+    with pytest.raises(ValueError, match="a.pdf"):
+        readers.binary_files(spark, f"file://{tmp_path}", most_bytes=9)
+    assert readers.binary_files(spark, f"file://{tmp_path}", most_bytes=10).count() == 2
+
+
 def test_watermarked_windows_stream(spark, tmp_path):
     rows = [(i, T0 + timedelta(minutes=20 * i), "click", 1.0) for i in range(9)]
     spark.createDataFrame(rows, "event_id long, ts timestamp, event_type string, value double").write.parquet(f"file://{tmp_path}/ev")
