@@ -13,9 +13,11 @@ ranges of the committed runs, and compares only keys with a row above it.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,47 +117,52 @@ def pending_keys(
 class IncrementalFolder:
     """Runs over a growing table, whose outputs and watermarks are committed together.
 
-    A run writes the sequences it takes in and its rows into a hidden folder, then a manifest with the watermark beside them, then renames the folder to its
-    final name `run-N`; the rename is the commit. A folder without that name is ignored and removed by the next run, so a
-    failure at any point repeats or skips nothing. A sequence counts as one row: redelivered, it isn't taken in again; a row without sequence
-    never is. Between the first sequence and the watermark all are taken in; beyond them, taken sequences are recorded one by one. If two runs race for one number, the rename of the second fails.
+    A run writes the sequences it takes in and its rows into a trial folder of its own, then a manifest that names that folder and the watermark, and
+    last gives the manifest its name `commit-N.json`. That name is taken exclusively, by one step that fails if it is there: it is the commit. A
+    trial folder no manifest names is invisible, so a failure at any point repeats or skips nothing, and of two runs that race for one
+    number the second fails and leaves the first as it is. No run deletes what isn't its own; `vacuum` removes old trials.
+    A sequence counts as one row: redelivered, it isn't taken in again; a row without sequence never is. Between the first
+    sequence and the watermark all are taken in; beyond them, taken sequences are recorded one by one.
     """
 
     def __init__(self, spark: SparkSession, folder: str, sequence: str = "sequence"):
         self.spark, self.folder, self.sequence = spark, folder.rstrip("/"), sequence
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        self.fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        self.fs.mkdirs(path)
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.fs.mkdirs(self.path(self.folder))
 
     def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return self.path(f"{self.folder}/{name}")
 
     def _names(self) -> list[str]:
-        return [s.getPath().getName() for s in self.fs.listStatus(self._path(""))] if self.fs.exists(self._path("")) else []
+        return [s.getPath().getName() for s in self.fs.listStatus(self._path(""))]
 
     def committed(self) -> list[dict]:
         """The manifests of all committed runs, in order."""
-        names = sorted((n for n in self._names() if n.startswith("run-")), key=lambda n: int(n[4:]))
-        return [json.loads(self.spark.read.text(f"{self.folder}/{n}/manifest").first()[0]) for n in names]
+        names = sorted((n for n in self._names() if n.startswith("commit-")), key=lambda n: int(n[7:-5]))
+        if not names:
+            return []
+        rows = self.spark.read.text([f"{self.folder}/{n}" for n in names]).collect()
+        return sorted((json.loads(r.value) for r in rows), key=lambda m: m["run"])
 
     def watermark(self) -> int | None:
         """The highest sequence up to which, from the first one on, all have been taken in."""
         last = self.committed()[-1:]
         return last[0]["watermark"] if last else None
 
+    def _tables(self, part: str) -> list[str]:
+        return [f"{self.folder}/{m['trial']}/{part}" for m in self.committed()]
+
     def taken(self) -> DataFrame:
         """The sequences of all committed runs."""
-        return self.spark.read.parquet(*[f"{self.folder}/run-{m['run']}/taken" for m in self.committed()])
+        return self.spark.read.parquet(*self._tables("taken"))
 
     def results(self) -> DataFrame:
         """The rows of all committed runs."""
-        return self.spark.read.parquet(*[f"{self.folder}/run-{m['run']}/data" for m in self.committed()])
+        return self.spark.read.parquet(*self._tables("data"))
 
     def run(self, source: DataFrame, step: Callable[[DataFrame], DataFrame]) -> dict | None:
         """Process what no run has taken in, at or below the highest sequence at the start; None if there is nothing."""
-        for name in self._names():
-            if name.startswith(".try-"):
-                self.fs.delete(self._path(name), True)
         name, before = self.sequence, self.committed()
         start, low = (before[-1]["from"], before[-1]["watermark"]) if before else (None, None)
         high = source.agg(F.max(name)).first()[0]
@@ -167,24 +174,56 @@ class IncrementalFolder:
             outside = (F.col(name) < F.lit(start)) | (F.col(name) > F.lit(low))
             beyond = self.taken().where(outside)
             new = new.where(outside).join(beyond, name, "left_anti")
-        trial = f".try-{uuid.uuid4().hex}"
-        # Written first: rows that arrive meanwhile are in neither the record nor the batch.
-        new.write.parquet(f"{self.folder}/{trial}/taken")
-        new = self.spark.read.parquet(f"{self.folder}/{trial}/taken")
-        lowest = new.agg(F.min(name)).first()[0]
-        if lowest is None:
+        trial = f"trial-{uuid.uuid4().hex}"
+        try:
+            # Written first: rows that arrive meanwhile are in neither the record nor the batch.
+            new.write.parquet(f"{self.folder}/{trial}/taken")
+            new = self.spark.read.parquet(f"{self.folder}/{trial}/taken")
+            lowest = new.agg(F.min(name)).first()[0]
+            if lowest is None:
+                self.fs.delete(self._path(trial), True)
+                return None
+            step(source.join(new, name, "left_semi")).write.parquet(f"{self.folder}/{trial}/data")
+            start = lowest if start is None else start
+            known = new if beyond is None else new.union(beyond)
+            reached = self._filled(known, start - 1 if low is None else low)
+            manifest = {"run": len(before) + 1, "above": low, "watermark": reached, "from": start, "trial": trial}
+            self._commit(manifest)
+        except BaseException:
             self.fs.delete(self._path(trial), True)
-            return None
-        step(source.join(new, name, "left_semi")).write.parquet(f"{self.folder}/{trial}/data")
-        start = lowest if start is None else start
-        known = new if beyond is None else new.union(beyond)
-        reached = self._filled(known, start - 1 if low is None else low)
-        manifest = {"run": len(before) + 1, "above": low, "watermark": reached}
-        self.spark.createDataFrame([(json.dumps(manifest | {"from": start}),)], "value string").coalesce(1).write.text(f"{self.folder}/{trial}/manifest")
-        final = self._path(f"run-{len(before) + 1}")
-        if self.fs.exists(final) or not self.fs.rename(self._path(trial), final):
-            raise RuntimeError(f"another run has committed run-{len(before) + 1}; nothing of this one is visible")
-        return manifest
+            raise
+        return {k: manifest[k] for k in ("run", "above", "watermark")}
+
+    def _commit(self, manifest: dict) -> None:
+        """The manifest, complete, under its final name, in one step that fails if the name is taken."""
+        written, final = self._path(f"{manifest['trial']}/manifest.json"), self._path(f"commit-{manifest['run']}.json")
+        out = self.fs.create(written, False)
+        try:
+            out.write(bytearray(json.dumps(manifest).encode()))
+        finally:
+            out.close()
+        jvm = self.spark._jvm
+        try:
+            if self.fs.getUri().getScheme() == "file":
+                # A rename in a local file system replaces what is there; a link doesn't.
+                at = lambda p: jvm.java.nio.file.Paths.get(p.toUri().getPath(), self.spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0))
+                jvm.java.nio.file.Files.createLink(at(final), at(written))
+            else:
+                none = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration()).rename(written, final, none)
+        except Py4JJavaError as e:
+            if self.fs.exists(final):
+                raise RuntimeError(f"another run has committed number {manifest['run']}; nothing of this one is visible") from e
+            raise
+
+    def vacuum(self, older_than_seconds: float = 86_400.0) -> int:
+        """Delete trial folders that no manifest names and that haven't changed for so long; how many there were."""
+        kept, now, n = {m["trial"] for m in self.committed()}, time.time() * 1000, 0
+        for s in self.fs.listStatus(self._path("")):
+            name = s.getPath().getName()
+            if name.startswith("trial-") and name not in kept and now - s.getModificationTime() >= older_than_seconds * 1000:
+                n += bool(self.fs.delete(s.getPath(), True))
+        return n
 
     def _filled(self, known: DataFrame, low: int) -> int:
         """The highest sequence up to which all above low are known."""

@@ -7,22 +7,51 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder all executors share: spark.checkpoint.dir. A temporary one only where that is unset and all tasks run in this JVM, as in tests;
+    on a cluster an unset folder raises an error."""
     given = spark.conf.get("spark.checkpoint.dir", None)
-    if not given:
-        given = f"file://{tempfile.mkdtemp(prefix='quirewise-')}"
-        spark.conf.set("spark.checkpoint.dir", given)
-    return given.rstrip("/")
+    if given:
+        return given.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='quirewise-')}"
+    return _OWN[context.applicationId]
+
+
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _cuts(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/quirewise/{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: later stages reuse it, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/quirewise/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write df once to the shared folder and read it back: later stages reuse it, and a lost executor costs no recomputation.
+
+    The tables of an application are deleted when its JVM ends, or before by `drop_cuts`.
+    """
+    spark, folder = df.sparkSession, _cuts(df.sparkSession)
+    path, fs = _hadoop(spark, folder)
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    there = f"{folder}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(there)
+    return spark.read.schema(df.schema).parquet(there)
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete all tables cut by this application: between queries whose results have been taken."""
+    path, fs = _hadoop(spark, _cuts(spark))
+    fs.delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

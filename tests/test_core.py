@@ -75,12 +75,47 @@ def test_incremental_folder_survives_failures(spark, tmp_path):
     more = spark.range(1, 21).withColumnRenamed("id", "sequence")
     with pytest.raises(RuntimeError):
         folder.run(more, broken)
-    (tmp_path / "runs/.try-left/data").mkdir(parents=True)
+    (tmp_path / "runs/trial-of-another/data").mkdir(parents=True)
     assert folder.watermark() == 10
     assert folder.run(more, lambda b: b) == {"run": 2, "above": 10, "watermark": 20}
     assert folder.run(more, lambda b: b) is None
     assert sorted(r.sequence for r in folder.results().collect()) == list(range(1, 21))
-    assert not [n for n in folder._names() if n.startswith(".try")]
+    assert (tmp_path / "runs/trial-of-another").exists()  # a run in flight is left alone
+    assert folder.vacuum() == 0 and folder.vacuum(0) == 1
+    assert sorted(r.sequence for r in folder.results().collect()) == list(range(1, 21))
+
+
+def test_incremental_folder_races(spark, tmp_path):
+    folder = IncrementalFolder(spark, f"file://{tmp_path}/race")
+    source = spark.range(1, 6).withColumnRenamed("id", "sequence")
+
+    def overtaken(batch):
+        folder.run(source, lambda b: b)
+        return batch
+
+    with pytest.raises(RuntimeError, match="another run"):
+        folder.run(source, overtaken)
+    assert folder.watermark() == 5 and sorted(r.sequence for r in folder.results().collect()) == [1, 2, 3, 4, 5]
+    assert folder.run(source, lambda b: b) is None
+
+
+@pytest.mark.parametrize("at", ["step", "_filled", "_commit"])
+def test_incremental_folder_survives_failure_at(spark, tmp_path, monkeypatch, at):
+    folder = IncrementalFolder(spark, f"file://{tmp_path}/fail")
+    source = spark.createDataFrame([(1,), (2,), (5,)], "sequence long")
+
+    def lost(*_):
+        raise OSError("lost")
+
+    if at != "step":
+        monkeypatch.setattr(folder, at, lost)
+    with pytest.raises(OSError):
+        folder.run(source, lost if at == "step" else (lambda b: b))
+    monkeypatch.undo()
+    assert folder.watermark() is None
+    assert folder.run(source, lambda b: b) == {"run": 1, "above": None, "watermark": 2}
+    assert folder.run(spark.createDataFrame([(3,), (5,), (4,)], "sequence long"), lambda b: b)["watermark"] == 5
+    assert sorted(r.sequence for r in folder.results().collect()) == [1, 2, 3, 4, 5]
 
 
 def test_incremental_folder_takes_in_late_rows(spark, tmp_path):
