@@ -38,7 +38,8 @@ def split_items(lengths: DataFrame, boundaries: DataFrame, limit: int = 24, leas
     reached = long.select("item", F.lit(1).cast("bigint").alias("first"))
     longest = long.agg(F.max("length")).first()[0] or 0
     for k in range(max(1, (longest // (least - overlap) + 1).bit_length())):
-        reached = reached.union(reached.join(jump, ["item", "first"]).select("item", F.col("next").alias("first")))
+        # Written each round: joined on unwritten, its plan would double every round.
+        reached = cut(reached.union(reached.join(jump, ["item", "first"]).select("item", F.col("next").alias("first"))), f"reached{k}")
         onward = jump.select("item", F.col("first").alias("next"), F.col("next").alias("beyond"))
         jump = cut(jump.join(onward, ["item", "next"]).select("item", "first", F.col("beyond").alias("next")), f"jump{k}")
     return pieces.join(reached, ["item", "first"], "left_semi").select("item", "first", "last")
