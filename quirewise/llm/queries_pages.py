@@ -69,12 +69,12 @@ def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broken and misread words, running headers and page numbers of scanned pages."""
-    return scan_noise(_scanned(spark, sf_dir), table(spark, sf_dir, "pdf")).distinct()
+    return scan_noise(_scanned(spark, sf_dir), table(spark, sf_dir, "pdf"), table(spark, sf_dir, "ocr_results")).distinct()
 
 
 def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scanned pages as continuous paragraphs."""
-    return scan_paragraphs(_scanned(spark, sf_dir), table(spark, sf_dir, "pdf"))
+    return scan_paragraphs(_scanned(spark, sf_dir), table(spark, sf_dir, "pdf"), table(spark, sf_dir, "ocr_results"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,375 +1,29 @@
 """Noise in text from scanned pages: broken and misread words, running headers, page numbers, lines instead of paragraphs.
 
-A page's furniture is set aside first. In each line of its body the words are decoded together: the cheapest path through the line's tokens writes
-one token alone, or several anew by vocabulary words, with spaces lost, spaces too many and confusions. No step crosses a line's end but a
-word broken by a hyphen, which is judged with its other part before. Paragraphs decode around unknown words only; their boundaries
-are chosen by dynamic programming.
+A page's furniture is set aside first, by what recurs in its book and in the corpus. The tokens of its body are decoded as one stream over the
+line ends (see `scanwords`), with the engine's confidence in each token where there is one. The path gives the marks of the page and, cut into
+paragraphs by dynamic programming, its text.
 """
 
 from __future__ import annotations
 
-import math
-import mmap
 import re
-import tempfile
-import uuid
-from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import accumulate, zip_longest
-from pathlib import Path
+from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from quirewise.storage import cut
-
-# What a scan may show, and the characters it may stand for.
-CONFUSIONS = {
-    "0": "o O", "1": "l i I t", "5": "s S", "@": "a", "!": "i l I", "|": "l I i", "8": "B", "6": "b G", "9": "g q", "3": "e B", "4": "A", "7": "T",
-    "2": "z Z", "$": "s S", "€": "e", "¢": "c", "I": "l i", "l": "I i t", "i": "l", "c": "e", "e": "c", "F": "E", "E": "F", "f": "t", "t": "f", "q": "g", "g": "q",
-    "b": "h", "h": "b", "fT": "ff", "ri": "n", "n": "ri", "rn": "m", "m": "rn", "cl": "d", "d": "cl", "ii": "u ü", "li": "h", "vv": "w", "VV": "W",
-    "a": "o", "o": "a", "u": "ii", "C": "G E", "G": "C", "O": "Q D", "D": "O", "B": "8 R", "R": "B",
-}
-PRINTED = {seen: printed.split() for seen, printed in CONFUSIONS.items()}
-#: Confusions of characters that words don't have are certain; these, of letters for letters, need a rarer spelling than the word meant.
-BREAKS = "-‐‑–­¬"
-NEPERS_CONFUSED, NEPERS_SPACE, NEPERS_UNKNOWN = 4.0, 6.0, 14.0
-_WORD = re.compile(r"[^\W\d_]+(?:[-‐‑’'][^\W\d_]+)*")
-_CORE = re.compile(r"^([\W_]*?)([^\W_](?:.*[^\W_])?)([\W_]*)$")
-_BROKEN = re.compile(rf"\S+[{BREAKS}][ \t]*\n\s*\S+")
-_ROMAN = re.compile(r"[ivxlcdm]+")
-
-
-def words_of(text: str) -> list[str]:
-    """Whole words for the vocabulary; what is broken over lines is left out."""
-    return [w.lower().replace("‐", "-").replace("‑", "-") for w in _WORD.findall(_BROKEN.sub(" ", text))]
-
-
-def regular(word: str) -> bool:
-    """Lower case, upper case or a capital first: the case patterns print has; parts of a compound count one by one."""
-    return all(p.islower() or p.isupper() or (p[:1].isupper() and p[1:].islower()) for p in re.split("[-’']", word) if p)
-
-
-def _most(word: str) -> int:
-    """Confusions a word may have and still be taken for a known one: one in four characters, two at least, and every sign that words don't have."""
-    return max(2, len(word) // 4) + sum(c in "@!|$€¢" or c.isdigit() for c in word)
-
-
-def _folded(word: str) -> str:
-    return word.lower().replace("‐", "-").replace("‑", "-")
-
-
-class MappedWords:
-    """The words of files that every task maps into memory, sorted by code point, with their counts: no task holds the vocabulary, however large."""
-
-    def __init__(self, name: str, size: int):
-        self.name, self.size, self._open = name, size, None
-
-    def __getstate__(self):
-        return {"name": self.name, "size": self.size, "_open": None}
-
-    def _files(self):
-        if self._open is None:
-            mapped = []
-            for x in ("text", "ends", "counts"):
-                with open(SparkFiles.get(f"{self.name}.{x}"), "rb") as f:
-                    mapped.append(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
-            self._open = (mapped[0], memoryview(mapped[1]).cast("q"), memoryview(mapped[2]).cast("q"))
-        return self._open
-
-    def __len__(self) -> int:
-        return self.size
-
-    def __getitem__(self, i: int) -> str:
-        text, ends, _ = self._files()
-        return text[(ends[i - 1] if i else 0) : ends[i]].decode()
-
-    def get(self, word: str, default: int = 0) -> int:
-        i = bisect_left(self, word)
-        return int(self._files()[2][i]) if i < self.size and self[i] == word else default
-
-
-@dataclass
-class Vocabulary:
-    counts: dict[str, int] | MappedWords
-    total: int = 0
-    longest: int = 0
-    _cache: dict = field(default_factory=dict, repr=False)
-    most: list[int] = field(default_factory=list)
-    _begins: dict = field(default_factory=dict, repr=False)
-    _counts: dict = field(default_factory=dict, repr=False)
-    _ranges: dict = field(default_factory=dict, repr=False)
-    _written: dict = field(default_factory=dict, repr=False)
-    _alone: dict = field(default_factory=dict, repr=False)
-
-    def __post_init__(self):
-        mapped = isinstance(self.counts, MappedWords)
-        self.total = self.total or max(1, sum(self.counts.values()))
-        self.longest = self.longest or max(map(len, self.counts), default=0)
-        if not self.most and not mapped:
-            self.most = [0] * (self.longest + 2)
-            for w, n in self.counts.items():
-                self.most[len(w)] = max(self.most[len(w)], n)
-        self.most = list(accumulate(reversed(self.most), max))[::-1]
-        self.words = self.counts if mapped else sorted(self.counts)
-
-    def count(self, word: str) -> int:
-        n = self._counts.get(word)
-        if n is None:
-            if len(self._counts) > 200_000:
-                self._counts.clear()
-            n = self._counts[word] = self.counts.get(_folded(word), 0) if regular(word) else 0
-        return n
-
-    def nepers(self, word: str) -> float:
-        n = self.count(word)
-        return math.log(self.total / n) if n else math.inf
-
-    def _range(self, start: str, low: int, high: int) -> tuple[int, int] | None:
-        """The words that begin so, of those from low to high; None if there are none."""
-        if start in self._ranges:
-            return self._ranges[start]
-        a = bisect_left(self.words, start, low, high)
-        out = (a, bisect_left(self.words, start + "\U0010ffff", a, high)) if a < high and self.words[a].startswith(start) else None
-        if len(self._ranges) > 300_000:
-            self._ranges.clear()
-        self._ranges[start] = out
-        return out
-
-    def readings(self, text: str, start: int = 0, beyond: bool = False) -> dict[int, dict[str, int]] | bool:
-        """By end: the known words that the scan may show as text[start:end], with the fewest confusions each; or (beyond) only whether
-        the text may begin a longer one.
-
-        The sorted words are walked as a trie whose nodes are ranges of them, so only beginnings of known words go on, and none of those is cut.
-        How many confusions a word may have grows with its length: see `_most`.
-        """
-        words, out = self.words, {}
-        most = _most(text[start:])
-        states: list[dict[str, tuple[int, int, int]]] = [{} for _ in range(len(text) + 1)]
-        states[start][""] = (0, 0, len(words))
-        for i in range(start, len(text)):
-            for done, (n, low, high) in states[i].items():
-                steps = [(text[i], i + 1, n)]
-                if n < most:
-                    steps += [(p, i + 1, n + 1) for p in PRINTED.get(text[i], ())]
-                    steps += [(p, i + 2, n + 1) for p in PRINTED.get(text[i : i + 2], ()) if i + 2 <= len(text)] if i + 1 < len(text) else []
-                for p, j, k in steps:
-                    longer = done + p
-                    there = states[j].get(longer)
-                    if there is not None:
-                        if k < there[0]:
-                            states[j][longer] = (k, *there[1:])
-                        continue
-                    inside = self._range(_folded(longer), low, high)
-                    if inside:
-                        states[j][longer] = (k, *inside)
-            for done, (n, low, _) in states[i + 1].items():
-                if n <= _most(text[start : i + 1]) and words[low] == _folded(done) and self.count(done):
-                    out.setdefault(i + 1, {})[done] = n
-        if beyond:
-            return any(high - low > 1 or words[low] != _folded(done) for done, (_, low, high) in states[-1].items())
-        return out
-
-    def printed(self, word: str) -> list[tuple[str, int]]:
-        """Known words that the scan may show as `word`, with the number of confusions, the fewest first."""
-        if len(word) > 2 * self.longest:
-            return []  # two characters at most stand for one: no known word is that long
-        known = self._cache.get(word)
-        if known is None:
-            found = self.readings(word).get(len(word), {})
-            known = sorted(((w, n) for w, n in found.items() if n), key=lambda x: (x[1], -self.count(x[0]), x[0]))
-            if len(self._cache) > 100_000:
-                self._cache.clear()
-            self._cache[word] = known
-        return known
-
-    def misread(self, word: str) -> str | None:
-        """The word printed where the scan shows `word`, or None if it is right or unclear."""
-        own = self.count(word)
-        for meant, n in self.printed(word):
-            there = self.count(meant)
-            certain = any(c in "@!|$€¢" or c.isdigit() for c in word)
-            if there >= 2 and (certain or there >= 10 * own):
-                return meant
-        return None
-
-    def joined(self, left: str, right: str) -> str:
-        """How a word broken after a hyphen goes on: `joined`, `hyphen` (a compound broken at its own hyphen) or `unclear`."""
-        whole, compound = self.count(left + right), self.count(f"{left}-{right}")
-        if whole or compound:
-            return "joined" if whole >= compound else "hyphen"
-        if self.misread(f"{left}-{right}") and not self.misread(left + right):
-            return "hyphen"
-        return "joined" if self.misread(left + right) else "unclear"
-
-    def decode(self, stream: str) -> str:
-        """The cheapest reading of a short stream of words: over its positions, each step a known word, written as it is or with confusions,
-        with spaces left out inside it or none after it, or one unknown chunk."""
-        chunks = stream.split(" ")
-        flat, ends, at = "".join(chunks), set(), 0
-        for c in chunks:
-            at += len(c)
-            ends.add(at)
-        best: list[tuple[float, list[str]]] = [(math.inf, [])] * (len(flat) + 1)
-        best[0] = (0.0, [])
-        inside = sorted(ends)
-        for i in range(len(flat)):
-            cost, said = best[i]
-            if cost == math.inf:
-                continue
-            start_bits = 0.0 if i == 0 or i in ends else NEPERS_SPACE
-            stop = next(e for e in inside if e > i)
-            for j in range(i + 1, min(len(flat), i + 2 * max(self.longest, stop - i)) + 1):
-                lost = sum(1 for e in inside if i < e < j)
-                if lost > 2:
-                    break
-                part = flat[i:j]
-                options = [(self.nepers(part), part)]
-                if j in ends or i in ends or i == 0:
-                    options += [(self.nepers(w) + NEPERS_CONFUSED * n, w) for w, n in (self.printed(part) if len(part) > 2 else [])]
-                if j == stop and start_bits == 0:
-                    options.append((NEPERS_UNKNOWN + math.log(self.total), part))
-                for c, w in options:
-                    total = cost + c + start_bits + NEPERS_SPACE * lost
-                    if total < best[j][0]:
-                        best[j] = (total, [*said, w])
-        return " ".join(best[-1][1]) if best[-1][1] else stream
-
-
-    def alternatives(self, chunk: str, several: bool) -> tuple[float, frozenset[int]] | None:
-        """The cheapest way to write a chunk without spaces by known words, spaces left out between them, and where its first characters differ
-        from the printed ones: the cost, and the positions of those characters. None if no words write it; `several`: two words or more."""
-        if (chunk, several) in self._written:
-            return self._written[chunk, several]
-        best: list[tuple[float, tuple[int, ...]]] = [(math.inf, ())] * (len(chunk) + 1)
-        best[0] = (-NEPERS_SPACE, ())
-        for i in range(len(chunk)):
-            cost, wrong = best[i]
-            if cost == math.inf:
-                continue
-            for j, words in self.readings(chunk, i).items():
-                if j - i < 2 or (several and j - i == len(chunk)):
-                    continue  # a single letter beside a lost space is no evidence
-                for w, n in words.items():
-                    if n and j - i < 3:
-                        continue
-                    total = cost + NEPERS_SPACE + self.nepers(w) + NEPERS_CONFUSED * n
-                    if total < best[j][0]:
-                        best[j] = (total, (*wrong, *self._differs(chunk, i, j, w))) if n else (total, wrong)
-        out = (best[-1][0], frozenset(best[-1][1])) if best[-1][0] < math.inf else None
-        if len(self._written) > 100_000:
-            self._written.clear()
-        self._written[chunk, several] = out
-        return out
-
-    @staticmethod
-    def _differs(chunk: str, start: int, end: int, word: str) -> list[int]:
-        """Positions of chunk[start:end] whose characters aren't those of the word, by the longest common start and end."""
-        shown = chunk[start:end]
-        a = 0
-        while a < min(len(shown), len(word)) and shown[a] == word[a]:
-            a += 1
-        b = 0
-        while b < min(len(shown), len(word)) - a and shown[-1 - b] == word[-1 - b]:
-            b += 1
-        return list(range(start + a, max(start + a + 1, end - b)))
-
-    def unknown(self, chunk: str) -> float:
-        """The cost of a chunk that no word writes; longer ones cost more, as more confusions are possible in them."""
-        return NEPERS_UNKNOWN + math.log(self.total) + NEPERS_CONFUSED * len(chunk) / 8
-
-    def alone(self, word: str) -> tuple[float, bool]:
-        """The cost of a token as one word, and whether it is misread."""
-        out = self._alone.get(word)
-        if out is None:
-            if _wrong(word, self):
-                meant = self.misread(word)
-                n = min((k for w, k in self.printed(word) if w == meant), default=1) if meant else 1
-                out = ((self.nepers(meant) if meant else math.log(self.total)) + NEPERS_CONFUSED * n, True)
-            else:
-                out = (min(self.nepers(word), self.unknown(word)), False)
-            if len(self._alone) > 200_000:
-                self._alone.clear()
-            self._alone[word] = out
-        return out
-
-    def begins(self, text: str) -> bool:
-        """Whether a longer known word begins as the scan may show it here."""
-        if text not in self._begins:
-            if len(self._begins) > 200_000:
-                self._begins.clear()
-            self._begins[text] = self.readings(text, beyond=True)
-        return self._begins[text]
-
-    def cheapest(self, length: int) -> float:
-        """The cost of the most frequent word of at least this length: a lower bound."""
-        n = self.most[min(max(length, 0), len(self.most) - 1)] if self.most else 0
-        return math.log(self.total / n) if n else math.inf
-
 
-def misread_tokens(tokens: list[str], vocabulary: Vocabulary) -> list[bool]:
-    """Which tokens show other characters than printed, on the cheapest path through the tokens' stream.
+from quirewise.llm.scanwords import Step, Vocabulary, core, decode, vocabulary
 
-    A step of the path is one token alone, or several without punctuation between them written anew by known words, with spaces lost (merged words),
-    spaces too many (split words) and confusions in one.
-    """
-    words = [core(t) for t in tokens]
-    judged = [len(w) > 1 and any(c.isalpha() for c in w) for w in words]
-    free = [w.isalpha() or any(c in "@!|$€¢" or c.isdigit() for c in w) and any(c.isalpha() for c in w) and not _ID.fullmatch(w) for w in words]
-    free = [f and all(c.isalnum() or c in "@!|$€¢" for c in w) for f, w in zip(free, words)]
-    alone = [vocabulary.alone(w) if j else (min(vocabulary.nepers(w), vocabulary.unknown(w)) if f else 0.0, False) for w, j, f in zip(words, judged, free)]
-    doubtful = [f and (a[1] or not vocabulary.count(w)) for w, a, f in zip(words, alone, free)]
-    floor = vocabulary.cheapest(0)
-    best: list[tuple[float, int, frozenset[int]]] = [(0.0, 0, frozenset())] + [(math.inf, 0, frozenset())] * len(tokens)
-    for i, word in enumerate(words):
-        cost = best[i][0] + alone[i][0]
-        if cost < best[i + 1][0]:
-            best[i + 1] = (cost, i, frozenset([i]) if alone[i][1] else frozenset())
-        chunk, starts, apart = "", [], 0.0
-        for j in range(i, len(words)):
-            if not free[j] or (j > i and (tokens[j - 1] != "" and not tokens[j - 1].endswith(words[j - 1]) or not tokens[j].startswith(words[j]))):
-                break
-            starts.append(len(chunk))
-            chunk += words[j]
-            apart += alone[j][0]
-            # What can't be cheaper than the tokens apart isn't looked at: a space in or out costs NEPERS_SPACE, a word what the most frequent one of
-            # its length does; and where every token is a known word, only a confusion makes a difference.
-            own = NEPERS_SPACE * (j - i) + (0.0 if any(doubtful[i : j + 1]) else NEPERS_CONFUSED)
-            whole = j > i and apart > own + vocabulary.cheapest(len(chunk) - _most(chunk))
-            if len(chunk) > 2 and (whole or apart > own + NEPERS_SPACE + 2 * floor):
-                known = vocabulary.alternatives(chunk, j == i)
-                if known and best[i][0] + known[0] + NEPERS_SPACE * (j - i) < best[j + 1][0]:
-                    wrong = frozenset(i + max(k for k, a in enumerate(starts) if a <= at) for at in known[1])
-                    best[j + 1] = (best[i][0] + known[0] + NEPERS_SPACE * (j - i), i, wrong)
-            # A group goes on while a longer known word can begin with it.
-            if j + 1 < len(words) and not (doubtful[j] and j == i) and not doubtful[j + 1] and not vocabulary.begins(chunk):
-                break
-    out, at = [False] * len(tokens), len(tokens)
-    while at:
-        _, came, wrong = best[at]
-        for k in wrong:
-            out[k] = True
-        at = came
-    return out
-
-
-def core(token: str) -> str:
-    """A token without the punctuation around it; signs that stand for letters stay."""
-    return token.strip(".,;:()“”‘’\"'?[]«»„…–—")
+_ROMAN = re.compile(r"[ivxlcdm]+")
+_DRESSING = " \t\xa0-–—[]()|~.·•*»«>_=:"
 
 
-def _number(line: str) -> str | None:
-    """What a line consists of if that is one number with its dressing, folded: digits, roman, or with a prefix; else None."""
-    bare = re.sub(r"^(page|p\.|p|seite|s\.)\s+", "", line.strip(" \t\xa0-–—[]()|~.·•*»«>_=:").lower()).strip(" .-–—[]()|~")
-    if not bare or " " in bare or len(bare) > 12:
-        return None
-    return bare
+def _shown(line: str) -> list[str]:
+    """The tokens of a line without dressing signs, folded."""
+    return [x for x in (t.strip(_DRESSING).lower() for t in line.split()) if x]
 
 
 def _same_number(shown: str, label: str) -> bool:
@@ -382,7 +36,7 @@ def _same_number(shown: str, label: str) -> bool:
 
 def _plausible(shown: str, index: int | None) -> bool:
     """Whether a page without a label may carry this number: not beyond its place, as front matter shifts numbers down only."""
-    if _ROMAN.fullmatch(shown) or re.fullmatch(r"a-\d{1,4}", shown):
+    if _ROMAN.fullmatch(shown) or re.fullmatch(r"[a-z]-\d{1,4}", shown):
         return True
     digits = shown.translate(str.maketrans("lo", "10"))
     return digits.isdigit() and 0 < int(digits) <= (index if index is not None else 0) + 1
@@ -406,35 +60,58 @@ def expected(label: str | None, index: int | None) -> list[str]:
 
 
 def is_title(line: str) -> bool:
-    """Words of a running title: two or more, all in capitals or each with a capital first."""
-    tokens = [core(t) for t in line.split()]
-    tokens = [t for t in tokens if any(c.isalpha() for c in t)]
-    if len(tokens) < 2 or line.rstrip()[-1:] in ".,;:":
+    """Words of a running title: three or more, all in capitals or each with a capital first."""
+    tokens = [t for t in (core(t) for t in line.split()) if any(c.isalpha() for c in t)]
+    if len(tokens) < 3 or line.rstrip()[-1:] in ".,;:":
         return False
-    if tokens[0].lower() == "part" and _ROMAN.fullmatch(tokens[1].lower().replace("1", "i").replace("l", "i")):
-        return len(tokens) <= 3
-    capital = sum(t[0].isupper() or not t[0].isalpha() for t in tokens)
-    return capital == len(tokens) and len(tokens) >= 3
+    return all(t[0].isupper() or not t[0].isalpha() for t in tokens)
 
 
 def without_number(line: str, numbers: list[str]) -> str:
-    """A head line without the page's number at either end; without a label, any number or roman numeral there."""
+    """A head line without the page's number at either end; without a label, any number or roman numeral there that isn't part of the title."""
     tokens = line.split()
     for at in (0, -1):
-        if len(tokens) > 1 and not (at == -1 and tokens[-2].lower() == "part"):
+        if len(tokens) > 1:
             shown = tokens[at].strip("-–—[]()|~.·•:").lower()
-            if shown and (any(_same_number(shown, n) for n in numbers) or (len(tokens) > 2 and not tokens[at][:1].isupper() and (_ROMAN.fullmatch(shown) or re.fullmatch(r"[\dlo]*\d[\dlo]*|\d+", shown)) and tokens[1 if at == 0 else 0][:4].lower() != "part")):
+            beside = tokens[1 if at == 0 else -2].strip(_DRESSING).lower()
+            own = any(_same_number(shown, n) for n in numbers)
+            loose = len(tokens) > 2 and not tokens[at][:1].isupper() and (_ROMAN.fullmatch(shown) or re.fullmatch(r"[\dlo]*\d[\dlo]*", shown))
+            # The numeral of a title ("Part iv") isn't the page's number if that stands on its other side or the title would be one word.
+            if shown and (own or loose) and not (len(tokens) == 2 and _ROMAN.fullmatch(shown) and not beside.isdigit() and not own):
                 tokens.pop(at)
     return " ".join(tokens)
 
 
+#: Letters that a scan confuses, folded together: of each confusion of single characters the least in code point.
+_ALIKE = str.maketrans({"1": "l", "0": "o", "5": "s", "@": "a", "!": "l", "|": "l", "i": "l", "q": "g", "c": "e", "f": "e", "t": "e", "h": "b"})
+
+
 def title_key(line: str) -> str:
-    """A title without numbers and case, confusable letters folded together."""
-    letters = re.sub(r"[\W\d_]+", "", line.lower().replace("0", "o").replace("1", "l").replace("5", "s").replace("@", "a").replace("!", "i"))
-    return letters.replace("rn", "m").replace("ii", "u").replace("cl", "d").replace("ri", "n").translate(str.maketrans("iqcfh", "lgetb")).replace("f", "e")
+    """A title without numbers, numerals, punctuation and case, confusable letters folded together."""
+    tokens = [t.strip(_DRESSING).lower() for t in line.split()]
+    kept = [t for t in tokens if not re.fullmatch(r"[ivxlcdm1]+", t)] or tokens
+    letters = re.sub(r"[\W_]+", "", "".join(kept).translate(_ALIKE))
+    return re.sub(r"\d+", "", letters.replace("rn", "m").replace("ll", "u").replace("el", "d").replace("rl", "n"))
+
+
+@dataclass(frozen=True)
+class Known:
+    """What recurs: keys of heads of the page's book, keys of heads of several books, words that stand beside page numbers."""
+
+    book: frozenset[str] = frozenset()
+    corpus: frozenset[str] = frozenset()
+    dressings: frozenset[str] = frozenset()
+
+
+def _number(line: str, dressings: frozenset[str]) -> str | None:
+    """What a line consists of if that is one number with its dressing: signs, and a word of `dressings`."""
+    shown = _shown(line)
+    if len(shown) == 2 and shown[0] in dressings:
+        shown = shown[1:]
+    return shown[0] if len(shown) == 1 and len(shown[0]) <= 12 else None
 
 
-def furniture(lines: list[str], label: str | None, index: int | None, titles: frozenset[str] | set[str] = frozenset()) -> dict[int, str]:
+def furniture(lines: list[str], label: str | None, index: int | None, known: Known = Known()) -> dict[int, str]:
     """Line numbers of page numbers (`page_number`) and running headers (`header`), at the head and foot of a page."""
     out: dict[int, str] = {}
     filled = [i for i, x in enumerate(lines) if x.strip()]
@@ -442,263 +119,215 @@ def furniture(lines: list[str], label: str | None, index: int | None, titles: fr
         return out
     numbers = expected(label, index)
     for i in dict.fromkeys(filled[:2] + filled[-2:]):
-        shown = _number(lines[i])
+        shown = _number(lines[i], known.dressings)
         if shown and (any(_same_number(shown, n) for n in numbers) or (not (label and label.strip()) and i in (filled[0], filled[-1]) and _plausible(shown, index))):
             out[i] = "page_number"
+    width = max(len(lines[i].strip()) for i in filled)
     for i in filled[:2]:
         if i in out:
             continue
         head = without_number(lines[i], numbers)
-        if title_key(head) in titles or is_title(head):
+        key = title_key(head)
+        if key in known.book or is_title(head) or (key in known.corpus and _apart(head, width)):
             out[i] = "header"
         break
     return out
 
 
+def _apart(head: str, width: int) -> bool:
+    """Whether a line is short and doesn't end as a sentence, so it isn't the end of a paragraph."""
+    return len(head) < 0.6 * width and head.rstrip()[-1:] not in ".,;:?!”"
+
+
+def keys_of(lines: list[str], label: str | None, index: int | None, book: str) -> list[str]:
+    """What a page says of recurring furniture: `book` and `corpus` keys of its head, words beside its `number`, beside one `near` it in shape
+    or beside an `other` one."""
+    filled = [x for x in lines if x.strip()]
+    numbers, out = expected(label, index), []
+    for x in dict.fromkeys(filled[:2] + filled[-2:]):
+        shown = _shown(x)
+        if len(shown) == 2 and shown[0].isalpha():
+            exact, near = shown[1] in [n.strip().lower() for n in numbers], any(_same_number(shown[1], n) for n in numbers)
+            if exact or near or _ROMAN.fullmatch(shown[1]) or any(c.isdigit() for c in shown[1]):
+                out.append(f"{'number' if exact else 'near' if near else 'other'}\x1f{shown[0]}")
+    for x in filled[:2]:
+        shown = _shown(x)
+        if shown and len(shown) <= 2 and (shown[-1] in [n.strip().lower() for n in numbers] or len(shown) == 1 and any(_same_number(shown[0], n) for n in numbers)):
+            continue
+        head = without_number(x, numbers)
+        key = title_key(head)
+        if len(key) >= 4:
+            out.append(f"book\x1f{book}\x1f{key}")
+            if _apart(head, max(map(len, filled))):
+                out.append(f"corpus\x1f{key}")
+        if not (len(shown) == 2 and any(_same_number(shown[1], n) for n in numbers)):
+            break  # else it may turn out to be the page's number
+    return out
+
+
 def noise_of(lines: list[str], body: list[int]) -> set[int]:
     """Lines of the body that are a bare number between text lines: they don't go on with the text."""
     return {i for i in body if re.fullmatch(r"[\d.,]+", lines[i].strip())}
 
 
-def marks(text: str, label: str | None, index: int | None, titles: set[str], vocabulary: Vocabulary) -> list[tuple[int, str]]:
-    """(line_no, kind) of a scanned page's noise."""
+def read(text: str, label: str | None, index: int | None, known: Known, words: Vocabulary, confidence: dict[int, list] | None = None) -> tuple[dict[int, str], list[int], list[str], list[Step]]:
+    """A scanned page: its furniture, the numbers and lines of its flowing text, and the decoded path through them."""
     lines = text.split("\n")
-    found = furniture(lines, label, index, titles)
-    out = sorted(found.items())
+    found = furniture(lines, label, index, known)
     body = [i for i, x in enumerate(lines) if x.strip() and i not in found]
-    flow = [i for i in body if i not in noise_of(lines, body)]
-    continued: set[int] = set()
-    for at, i in enumerate(flow):
-        tokens = lines[i].split()
-        first, last = (1 if i in continued else 0), len(tokens)
-        end = tokens[-1]
-        following = lines[flow[at + 1]].split() if at + 1 < len(flow) else []
-        if len(end) > 1 and end[-1] in BREAKS and (end[-2].isalnum() or end[-2] in "@!|") and following:
-            left, right = core(end[:-1]), core(following[0])
-            how = vocabulary.joined(left, right) if right[:1].isalnum() or right[:1] in "@!|" else "unclear"
-            onward = at + 1
-            if how == "unclear" and at + 2 < len(flow) and len(lines[flow[at + 1]].strip()) < 12:
-                # A short note in the margin may stand between the two parts.
-                beyond = core(lines[flow[at + 2]].split()[0])
-                if beyond and vocabulary.joined(left, beyond) != "unclear":
-                    how, right, onward = vocabulary.joined(left, beyond), beyond, at + 2
-            if how == "unclear" and end[-1] in "-‐‑" and vocabulary.count(left) and vocabulary.count(right):
-                how = "hyphen"
-            if how != "hyphen":
-                out.append((i, "hyphen"))
-            continued.add(flow[onward])
-            last -= 1
-        if any(misread_tokens(tokens[first:last], vocabulary)):
-            out.append((i, "misread"))
-    return out
+    aside = noise_of(lines, body)
+    flow = [i for i in body if i not in aside]
+    given = [(confidence or {}).get(i, []) for i in flow]
+    return found, flow, lines, decode([lines[i].split() for i in flow], words, given)
 
 
-_ID = re.compile(r"[A-Za-z]\d|\d[a-z]|[A-Z]-\d+")
+def marks(text: str, label: str | None, index: int | None, known: Known, words: Vocabulary, confidence: dict[int, list] | None = None) -> list[tuple[int, str]]:
+    """(line_no, kind) of a scanned page's noise."""
+    found, flow, lines, path = read(text, label, index, known, words, confidence)
+    at = [i for i in flow for _ in lines[i].split()]
+    noise = {(flow[k], "hyphen") for s in path for k in s.broken} | {(at[t], "misread") for s in path for t in s.wrong}
+    return sorted(found.items()) + sorted(noise)
 
 
-def _wrong(word: str, vocabulary: Vocabulary) -> bool:
-    if _ID.fullmatch(word):
-        return False
-    if "-" in word.strip("-") and not vocabulary.count(word):
-        if vocabulary.misread(word):
-            return True
-        return any(len(p) > 1 and any(c.isalpha() for c in p) and vocabulary.misread(p) for p in word.split("-"))
-    return vocabulary.misread(word) is not None
+#: Nepers: a boundary where a sentence ends in a line with room for the next word before a capital, and elsewhere; none where one fits, and where a
+#: blank line stands; a paragraph of one line that doesn't end as a sentence, and of one that does.
+FITTING, MISFIT, MISSED, ACROSS_BLANK, LONE_FRAGMENT, LONE_LINE = 0.2, 6.0, 2.0, 5.0, 4.0, 0.7
 
 
-def paragraphs(text: str, label: str | None, index: int | None, titles: set[str], vocabulary: Vocabulary) -> list[str]:
-    """The page's text as continuous paragraphs in the printed words."""
-    lines = text.split("\n")
-    found = furniture(lines, label, index, titles)
-    body = [i for i, x in enumerate(lines) if x.strip() and i not in found]
-    flow = [lines[i] for i in body if i not in noise_of(lines, body)]
-    if not flow:
+def boundaries(lines: list[str], blank_after: list[bool], joined: set[int]) -> list[int]:
+    """After which lines paragraphs end, by the cheapest sequence of boundaries: two in a row make a paragraph of one line, which is rare.
+
+    blank_after: whether a blank line follows. joined: lines whose last word goes on in the next one, so no paragraph ends there.
+    """
+    if not lines:
         return []
-    width = max(len(x) for x in flow)
-    # Costs of a boundary after line i, and of none: a short line that ends a sentence before a capital is a boundary.
-    costs = []
-    for x, y in zip(flow, flow[1:]):
+    width = max(len(x.rstrip()) for x in lines)
+    # Costs and ways of the two states after each line: no boundary, boundary.
+    cost, came = [(0.0, 0.0)], []
+    cost[0] = (float("inf"), 0.0)
+    for i, x in enumerate(lines):
         ends = x.rstrip()[-1:] in ".?!”"
-        fits = len(x.rstrip()) + 1 + len(y.split()[0]) <= width
-        costs.append((0.2 if ends and fits and y.lstrip()[:1].isupper() else 6.0, 2.0 if ends and fits else 0.0))
-    best, came = [0.0], [0]
-    sums = [0.0]
-    for _, whole in costs:
-        sums.append(sums[-1] + whole)
-    for i in range(1, len(flow) + 1):
-        # The paragraph j..i-1 passes the boundaries behind its lines but the last.
-        cost, j = min((best[j] + sums[i - 1] - sums[j], j) for j in range(i))
-        best.append(cost + (costs[i - 1][0] if i < len(flow) else 0.0))
-        came.append(j)
-    cuts, i = [], len(flow)
-    while i:
-        cuts.append((came[i], i))
-        i = came[i]
-    return [_flowed(flow[j:i], vocabulary) for j, i in reversed(cuts)]
-
-
-def _flowed(lines: list[str], vocabulary: Vocabulary) -> str:
-    tokens: list[str] = []
-    for line in lines:
-        own = line.split()
-        if tokens and len(tokens[-1]) > 1 and tokens[-1][-1] in BREAKS and tokens[-1][-2].isalnum() and own:
-            left, right = tokens[-1][:-1], own.pop(0)
-            tokens[-1] = f"{left}-{right}" if vocabulary.joined(core(left), core(right)) == "hyphen" else left + right
-        tokens += own
-    fixed = []
-    i = 0
-    while i < len(tokens):
-        word = core(tokens[i])
-        if len(word) > 1 and any(c.isalpha() for c in word) and not _ID.fullmatch(word):
-            meant = vocabulary.misread(word)
-            if meant is None and vocabulary.count(word):
-                meant = word
-            if meant is None:
-                # Splits and merges: the token with the one after it, as one stream.
-                two = i + 1 < len(tokens) and core(tokens[i + 1]) == tokens[i + 1].rstrip(".,;:") and word == tokens[i]
-                following = core(tokens[i + 1]) if two else ""
-                merged = word + following
-                if two and not vocabulary.count(following) and (vocabulary.count(merged) or vocabulary.misread(merged)):
-                    fixed.append(vocabulary.decode(f"{word} {following}") + tokens[i + 1][len(following) :])
-                    i += 2
-                    continue
-                meant = vocabulary.decode(word)
-            fixed.append(tokens[i].replace(word, meant, 1))
+        if i + 1 < len(lines):
+            following = lines[i + 1].lstrip()
+            room = len(x.rstrip()) + 1 + len(following.split()[0]) <= width
+            fits = ends and room and following[:1].isupper()
+            here = FITTING if fits or blank_after[i] else MISFIT
+            none = ACROSS_BLANK if blank_after[i] else MISSED if ends and room else 0.0
+            if i in joined:
+                here, none = float("inf"), 0.0
         else:
-            fixed.append(tokens[i])
-        i += 1
-    return " ".join(fixed)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            if text:
-                counts.update(words_of(text))
-        if len(counts) > 200_000:
-            yield out()
-            counts.clear()
-    yield out()
+            here, none = 0.0, float("inf")
+        lone = LONE_LINE if ends else LONE_FRAGMENT
+        inside, after = cost[-1]
+        ways = ((min(inside, after) + none, inside <= after), (min(inside, after + lone) + here, inside <= after + lone))
+        came.append((ways[0][1], ways[1][1]))
+        cost.append((ways[0][0], ways[1][0]))
+    out, state = [], 1
+    for i in range(len(lines) - 1, -1, -1):
+        if state:
+            out.append(i)
+        state = 0 if came[i][state] else 1
+    return out[::-1]
+
+
+def paragraphs(text: str, label: str | None, index: int | None, known: Known, words: Vocabulary, confidence: dict[int, list] | None = None) -> list[str]:
+    """The page's text as continuous paragraphs in the printed words."""
+    _, flow, lines, path = read(text, label, index, known, words, confidence)
+    at = [k for k, i in enumerate(flow) for _ in lines[i].split()]
+    joined = {k for s in path for k in range(at[s.first], at[s.last - 1])}
+    blank = [any(not x.strip() for x in lines[a + 1 : b]) for a, b in zip(flow, flow[1:])] + [False]
+    out, steps = [], iter(path)
+    step = next(steps, None)
+    for end in boundaries([lines[i] for i in flow], blank, joined):
+        said = []
+        while step is not None and at[step.first] <= end:
+            said.append(step.text)
+            step = next(steps, None)
+        out.append(" ".join(said))
+    return out
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw = [w.encode() for w in batch.column("word").to_pylist()]
-        sizes = np.array([len(r) for r in raw], dtype=np.int64)
-        counts = np.array(batch.column("n").to_pylist(), dtype=np.int64)
-        most = np.zeros(max((len(w) for w in batch.column("word").to_pylist()), default=0) + 2, dtype=np.int64)
-        np.maximum.at(most, [len(w) for w in batch.column("word").to_pylist()], counts)
-        columns = [pa.array([x], t) for x, t in ((b"".join(raw), pa.binary()), (sizes.tobytes(), pa.binary()), (counts.tobytes(), pa.binary()), (most.tolist(), pa.list_(pa.int64())))]
-        yield pa.RecordBatch.from_arrays(columns, ["text", "sizes", "counts", "most"])
-
-
-def vocabulary(texts: DataFrame, least: int = 2) -> Vocabulary:
-    """All words of at least `least` occurrences with their counts over all texts, in files that the tasks map into memory.
-
-    The driver writes them a partition at a time, so it holds no more of them than that either.
-    """
-    context = texts.sparkSession.sparkContext
-    counted = texts.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = cut(counted.where(F.col("n") >= least), "words").orderBy("word").mapInArrow(_packed, "text binary, sizes binary, counts binary, most array<long>")
-    name, folder = f"words-{uuid.uuid4().hex}", Path(tempfile.mkdtemp(prefix="quirewise-"))
-    size, end, total, most = 0, 0, 0, []
-    with (folder / f"{name}.text").open("wb") as text, (folder / f"{name}.ends").open("wb") as ends, (folder / f"{name}.counts").open("wb") as counts:
-        for r in rows.toLocalIterator():
-            sizes = np.frombuffer(r.sizes, dtype=np.int64)
-            text.write(r.text)
-            ends.write((np.cumsum(sizes) + end).tobytes())
-            counts.write(r.counts)
-            size, end = size + len(sizes), end + len(r.text)
-            total += int(np.frombuffer(r.counts, dtype=np.int64).sum())
-            most = [max(a, b) for a, b in zip_longest(most, r.most, fillvalue=0)]
-    if not size:
-        return Vocabulary({})
-    for x in ("text", "ends", "counts"):
-        context.addFile(str(folder / f"{name}.{x}"))
-    return Vocabulary(MappedWords(name, size), total, len(most) - 2, most=most)
-
-
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = (batch.column(c).to_pylist() for c in ("text", "label", "page_index", "book"))
+        keys = [keys_of((text or "").split("\n"), label, index, book) for text, label, index, book in zip(*columns)]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("book"), pa.array(keys, pa.list_(pa.string()))], ["page_id", "book", "keys"])
+
+
+def with_known(pages: DataFrame, least: int = 3) -> DataFrame:
+    """pages with `known`: those of the page's own keys that recur, on `least` pages of the book or in `least` books of the corpus; a word beside
+    numbers counts if most of them are the page's."""
+    each = pages.mapInArrow(_keyed, "page_id string, book string, keys array<string>").select("page_id", "book", F.explode("keys").alias("key"))
+    other = F.col("key").startswith("other\x1f")
+    named = F.regexp_replace("key", "^(other|near)\x1f", "number\x1f")
+    for_it = ~F.col("key").rlike("^(other|near)\x1f")
+    by_book = each.groupBy(named.alias("key"), "book").agg(F.sum(for_it.cast("bigint")).alias("n"), F.sum(other.cast("bigint")).alias("against"))
+    several = by_book.groupBy("key").agg(F.sum("n").alias("n"), F.sum("against").alias("against"), F.count("*").alias("books"))
+    often = several.where((F.col("n") >= least) & (F.col("n") > F.col("against")) & (F.col("key").startswith("book\x1f") | (F.col("books") >= least)))
+    found = each.withColumn("key", named).join(often.select("key"), "key", "left_semi").groupBy("page_id").agg(F.collect_set("key").alias("known"))
+    return pages.join(found, "page_id", "left")
+
+
+def with_confidence(pages: DataFrame, results: DataFrame | None) -> DataFrame:
+    """pages with `confidence`: line numbers and confidences of the tokens of the page's result (page_id, tokens) that has most of them."""
+    empty = F.lit(None).cast("array<struct<order:int,line_order:int,confidence:double>>")
+    if results is None:
+        return pages.withColumn("token", empty)
+    own = F.arrays_zip(F.col("tokens.order").alias("order"), F.col("tokens.line_order").alias("line_order"), F.col("tokens.confidence").alias("confidence"))
+    given = results.where("page_id is not null and tokens is not null").select("page_id", F.array_sort(own).alias("token"))
+    return pages.join(given.groupBy("page_id").agg(F.max_by("token", F.struct(F.size("token"), "token")).alias("token")), "page_id", "left")
+
+
+def _prepared(pages: DataFrame, results: DataFrame | None) -> DataFrame:
+    given = pages.where("page_id is not null and text is not null").select("page_id", F.coalesce("book", F.lit("")).alias("book"), "page_index", "label", "text").distinct()
+    joined = with_confidence(with_known(given), results)
+    return joined.select("page_id", "page_index", "label", "text", "known", F.col("token.line_order").alias("line_order"), F.col("token.confidence").alias("confidence"))
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """By batch: page_id and what `read` wants of each page but the vocabulary."""
     for batch in batches:
-        books, keys = [], []
-        for book, text, label, index in zip(*(batch.column(c).to_pylist() for c in ("book", "text", "label", "page_index"))):
-            lines = [x for x in (text or "").split("\n") if x.strip()][:2]
-            for x in lines:
-                shown = _number(x)
-                if shown and any(_same_number(shown, n) for n in expected(label, index)):
-                    continue
-                key = title_key(without_number(x, expected(label, index)))
-                if len(key) >= 4:
-                    books.append(book)
-                    keys.append(key)
-                break
-        yield pa.RecordBatch.from_arrays([pa.array(books, pa.string()), pa.array(keys, pa.string())], ["book", "key"])
-
-
-def with_titles(pages: DataFrame, least: int = 3) -> DataFrame:
-    """pages with `titles`: of the page's own head line, its key if it heads at least `least` pages of the book."""
-    heads = pages.select(F.coalesce("book", F.lit("")).alias("book"), "text", "label", "page_index").mapInArrow(_heads, "book string, key string")
-    often = heads.groupBy("book", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("book", "key")
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = []
-            for text, label, index in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "page_index"))):
-                key = ""
-                for x in [x for x in (text or "").split("\n") if x.strip()][:2]:
-                    shown = _number(x)
-                    if shown and any(_same_number(shown, n) for n in expected(label, index)):
-                        continue
-                    key = title_key(without_number(x, expected(label, index)))
-                    break
-                keys.append(key)
-            yield batch.append_column("key", pa.array(keys, pa.string()))
-
-    named = pages.withColumn("book", F.coalesce("book", F.lit(""))).select("page_id", "book", "page_index", "label", "text")
-    with_key = named.mapInArrow(keyed, T.StructType([*named.schema.fields, T.StructField("key", T.StringType())]))
-    return with_key.join(often.withColumn("running", F.lit(True)), ["book", "key"], "left")
-
-
-def scan_noise(pages: DataFrame, texts: DataFrame) -> DataFrame:
-    """(page_id, line_no, kind) of scanned pages (page_id, book, page_index, label, text); texts gives the vocabulary.
+        rows = []
+        columns = (batch.column(c).to_pylist() for c in ("page_id", "text", "label", "page_index", "known", "line_order", "confidence"))
+        for page, text, label, index, known, order, confidence in zip(*columns):
+            kinds: dict[str, set[str]] = {"book": set(), "corpus": set(), "number": set()}
+            for k in known or ():
+                kinds[k.split("\x1f", 1)[0]].add(k.rsplit("\x1f", 1)[1])
+            by_line: dict[int, list] = {}
+            for line, c in zip(order or (), confidence or ()):
+                by_line.setdefault(line, []).append(c)
+            rows.append((page, text, label, index, Known(*map(frozenset, kinds.values())), by_line))
+        yield rows
+
+
+def scan_noise(pages: DataFrame, texts: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """(page_id, line_no, kind) of scanned pages (page_id, book, page_index, label, text); texts gives the vocabulary, results
+    (page_id, tokens) the confidence of the tokens.
 
     Kinds: `hyphen`, `misread`, `header`, `page_number`. Null and blank texts give no rows; a null book counts as one book; repeated
-    rows count once; a page without label is judged by its place.
+    rows count once; a page without label is judged by its place; without a result, or with one cut off, tokens count as ordinary ones.
     """
-    known = vocabulary(texts)
-    prepared = with_titles(pages.where("page_id is not null and text is not null").select("page_id", "book", "page_index", "label", "text").distinct())
+    words = vocabulary(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            columns = (batch.column(c).to_pylist() for c in ("page_id", "text", "label", "page_index", "key", "running"))
-            for page, text, label, index, key, running in zip(*columns):
-                rows += [(page, n, kind) for n, kind in marks(text, label, index, {key} if running else set(), known)]
+        for batch in _each(batches):
+            rows = [(page, n, kind) for page, text, label, index, known, confidence in batch for n, kind in marks(text, label, index, known, words, confidence)]
             if rows:
                 a, b, c = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.int64()), pa.array(c, pa.string())], ["page_id", "line_no", "kind"])
 
-    return prepared.mapInArrow(run, "page_id string, line_no long, kind string")
+    return _prepared(pages, results).mapInArrow(run, "page_id string, line_no long, kind string")
 
 
-def scan_paragraphs(pages: DataFrame, texts: DataFrame) -> DataFrame:
-    """(page_id, paragraph_no, paragraph): scanned pages as continuous paragraphs in the printed words."""
-    known = vocabulary(texts)
-    prepared = with_titles(pages.where("page_id is not null and text is not null").select("page_id", "book", "page_index", "label", "text").distinct())
+def scan_paragraphs(pages: DataFrame, texts: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """(page_id, paragraph_no, paragraph): scanned pages as continuous paragraphs in the printed words; arguments as of `scan_noise`."""
+    words = vocabulary(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            columns = (batch.column(c).to_pylist() for c in ("page_id", "text", "label", "page_index", "key", "running"))
-            for page, text, label, index, key, running in zip(*columns):
-                rows += [(page, n, p) for n, p in enumerate(paragraphs(text, label, index, {key} if running else set(), known))]
+        for batch in _each(batches):
+            rows = [(page, n, p) for page, text, label, index, known, confidence in batch for n, p in enumerate(paragraphs(text, label, index, known, words, confidence))]
             if rows:
                 a, b, c = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.int32()), pa.array(c, pa.string())], ["page_id", "paragraph_no", "paragraph"])
 
-    return prepared.mapInArrow(run, "page_id string, paragraph_no int, paragraph string")
+    return _prepared(pages, results).mapInArrow(run, "page_id string, paragraph_no int, paragraph string")

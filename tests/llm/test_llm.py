@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("quirewise.llm")
 
-from quirewise.llm import abuse, encoding, leakage, lookalike, mixing, repeated_lines, scans, splitting  # noqa: E402
+from quirewise.llm import abuse, encoding, leakage, lookalike, mixing, repeated_lines, scans, scanwords, splitting  # noqa: E402
 from quirewise.llm.fmindex import FMIndex, WaveletTree, suffix_array  # noqa: E402
 from quirewise.llm.linekeys import bands, masked_lines, signatures  # noqa: E402
 
@@ -155,12 +155,64 @@ Another signal is here for the model
 
 def test_scan_marks_and_paragraphs():
     clean = "If the signal is amorphous, the hemigranule contradicts neither the tight-binding model nor the vessel. The end. Another signal is here for the"
-    v = scans.Vocabulary({w: 50 for w in scans.words_of(clean)})
-    assert sorted(scans.marks(BOOK, "12", 11, set(), v)) == [(0, "header"), (1, "hyphen"), (3, "misread"), (5, "page_number")]
-    assert " ".join(scans.paragraphs(BOOK, "12", 11, set(), v)) == clean.replace("for the", "for the model")
-    assert v.decode("ves sel") == "vessel" and v.decode("thesignal") == "the signal"
+    v = scanwords.Vocabulary({w: 50 for w in scanwords.words_of(clean)})
+    none = scans.Known()
+    assert sorted(scans.marks(BOOK, "12", 11, none, v)) == [(0, "header"), (1, "hyphen"), (3, "misread"), (5, "page_number")]
+    assert " ".join(scans.paragraphs(BOOK, "12", 11, none, v)) == clean.replace("for the", "for the model")
+    said = lambda *lines: " ".join(x.text for x in scanwords.decode([x.split() for x in lines], v))
+    assert said("(ves sel,") == "(vessel," and said("thesignal") == "the signal" and said("the tight-", "binding mo", "del") == "the tight-binding model"
+    assert said("the sig-", "nal the ves", "sel") == "the signal the vessel"  # the stream runs over the line ends
     assert v.printed("x" * 5000) == []
-    assert scans.marks("", None, None, set(), v) == [] and scans.paragraphs("\n\n", None, None, set(), v) == []
+    assert scans.marks("", None, None, none, v) == [] and scans.paragraphs("\n\n", None, None, none, v) == []
+    assert scans.marks("vesse1", None, None, none, scanwords.Vocabulary({})) == []
+
+
+def test_scan_confidence_decides_between_known_words():
+    v = scanwords.Vocabulary({"modern": 100, "modem": 12, "the": 500})
+    wrong = lambda c: [sorted(x.wrong) for x in scanwords.decode([["the", "modem"]], v, [[0.8, c]]) if x.wrong]
+    assert wrong(0.8) == wrong(None) == wrong(0.99) == [] and wrong(0.6) == [[1]]
+
+
+def test_scan_paragraph_boundaries_by_brute_force():
+    """The cheapest of all sequences of boundaries; a boundary's cost depends on the one before it."""
+    rng = random.Random(7)
+    coupled = 0
+    for _ in range(150):
+        lines = [rng.choice(["It ends here.", "The line goes on and on", "and it ends.", "Short.", "A line as long as they get"]) for _ in range(rng.randrange(1, 9))]
+        blank = [rng.random() < 0.2 for _ in lines]
+        joined = {i for i in range(len(lines) - 1) if rng.random() < 0.1}
+        width = max(map(len, lines))
+
+        def cost(cuts):
+            total, before = 0.0, True
+            for i, x in enumerate(lines):
+                ends, last = x[-1] in ".", i == len(lines) - 1
+                if (i in joined and i in cuts) or (last and i not in cuts):
+                    return float("inf")
+                room = not last and len(x) + 1 + len(lines[i + 1].split()[0]) <= width
+                if i in cuts:
+                    total += (scans.LONE_LINE if ends else scans.LONE_FRAGMENT) if before else 0.0
+                    total += 0.0 if last else scans.FITTING if (ends and room and lines[i + 1][0].isupper()) or blank[i] else scans.MISFIT
+                elif i not in joined:
+                    total += scans.ACROSS_BLANK if blank[i] else scans.MISSED if ends and room else 0.0
+                before = i in cuts
+            return total
+
+        every = [{i for i in range(len(lines)) if m >> i & 1} for m in range(1 << len(lines))]
+        got = scans.boundaries(lines, blank, joined)
+        assert abs(cost(set(got)) - min(map(cost, every))) < 1e-9
+        coupled += any(a + 1 == b for a, b in zip(got, got[1:]))
+    assert coupled and scans.boundaries([], [], set()) == []
+
+
+def test_scan_furniture_recurs(spark):
+    """A short head of several books and a word beside page numbers are learned; a head of one book by its pages."""
+    rows = [(f"{b}{i}", b, i, str(i + 1), f"{'TOPIC' if i % 2 else 'SECTION IV'}\nsome text of the body that is longer {b} {i}\nBlatt {i + 1}") for b in "abc" for i in range(8)]
+    rows += [(f"d{i}", "d", i, str(i + 1), f"only here\nsome text of the body that is longer\nCase {7 * i + 3}") for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id string, book string, page_index int, label string, text string")
+    got = {(r.page_id, r.line_no): r.kind for r in scans.scan_noise(df, df.select("text")).collect()}
+    assert all(got[p, 0] == "header" for p, *_ in rows) and all(got[p, 2] == "page_number" for p, *_ in rows if p[0] != "d")
+    assert not any(p[0] == "d" and n == 2 for p, n in got)
 
 
 def test_scan_tables(spark):
@@ -176,23 +228,27 @@ def test_scan_tables(spark):
 
 def test_scan_long_words_keep_their_reading(spark):
     words = "instrumentenkalibrierung instrumentenkalender electroencephalographically the signal".split()
-    v = scans.Vocabulary({w: 50 for w in words})
+    v = scanwords.Vocabulary({w: 50 for w in words})
     assert v.misread("1nstrumentenkal1br1erung").lower() == "instrumentenkalibrierung"
     assert v.misread("eleetroeneephalograpbically") == "electroencephalographically"  # three letters for letters
     texts = spark.createDataFrame([(" ".join(words * 3),), (None,)], "text string")
-    mapped = scans.vocabulary(texts)
+    mapped = scanwords.vocabulary(texts)
     assert [mapped.words[i] for i in range(len(mapped.words))] == sorted(words) and mapped.total == 15 and mapped.longest == 27
     assert mapped.count("signal") == 3 and mapped.count("zebra") == 0 and mapped.misread("1nstrumentenkal1br1erung").lower() == "instrumentenkalibrierung"
 
 
 def test_scan_words_are_decoded_together():
     clean = "the instrument describes another reliable vessel of this model"
-    v = scans.Vocabulary({w: 50 for w in clean.split()})
-    wrong = lambda line: scans.misread_tokens(line.split(), v)
+    v = scanwords.Vocabulary({w: 50 for w in clean.split()})
+
+    def wrong(line):
+        path = scanwords.decode([line.split()], v)
+        return [any(i in x.wrong for x in path) for i in range(len(line.split()))]
+
     assert wrong("the instru rnent describes") == [False, False, True, False]  # split and misread: it shows where the character stands
     assert wrong("anothervesse1 model") == [True, False] and wrong("relia bleve55el") == [False, True]
     assert not any(wrong("the instru ment describes anothervessel")) and not any(wrong("Havhavdko of the model, Ilykesosk"))
-    assert scans.marks("the reliable instru rnent\nof this model", "7", 6, set(), v) == [(0, "misread")]
+    assert scans.marks("the reliable instru rnent\nof this model", "7", 6, scans.Known(), v) == [(0, "misread")]
 
 
 def cut_by_walk(length, natural):
