@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirewise.llm.abuse import ABUSIVE, fit, scored, source_rates, training
+from quirewise.llm.abuse import fit, scored, source_rates, training
 from quirewise.llm.leakage import leaked
 from quirewise.llm.mixing import mixture_report, token_counts
 from quirewise.storage import table
@@ -35,7 +35,7 @@ def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with an abusive, hateful or sexual sentence."""
-    return p9_scores(spark, sf_dir).where(F.col("score") >= ABUSIVE).select("doc_id").distinct()
+    return p9_scores(spark, sf_dir).where("abusive").select("doc_id").distinct()
 
 
 def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:

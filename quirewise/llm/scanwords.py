@@ -7,9 +7,11 @@ word or as a compound that keeps its hyphen. What the path says of each token gi
 
 from __future__ import annotations
 
+import atexit
 import math
 import mmap
 import re
+import shutil
 import tempfile
 import uuid
 from bisect import bisect_left
@@ -477,15 +479,15 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["text", "sizes", "counts", "most"])
 
 
-def vocabulary(texts: DataFrame, least: int = 2) -> Vocabulary:
-    """All words of at least `least` occurrences with their counts over all texts, in files that the tasks map into memory.
+def mapped(counted: DataFrame) -> tuple[MappedWords | None, int, list[int]]:
+    """counted (word, n; distinct words) -> the words in files that the tasks map into memory, the sum of n, and the greatest n by length.
 
-    The driver writes them a partition at a time, so it holds no more of them than that either.
+    The driver writes the files a partition at a time, so it holds no more of them than that either. No words: None.
     """
-    context = texts.sparkSession.sparkContext
-    counted = texts.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = cut(counted.where(F.col("n") >= least), "words").orderBy("word").mapInArrow(_packed, "text binary, sizes binary, counts binary, most array<long>")
+    context = counted.sparkSession.sparkContext
+    rows = cut(counted, "words").orderBy("word").mapInArrow(_packed, "text binary, sizes binary, counts binary, most array<long>")
     name, folder = f"words-{uuid.uuid4().hex}", Path(tempfile.mkdtemp(prefix="quirewise-"))
+    atexit.register(shutil.rmtree, folder, True)  # the driver serves the files from here as long as it runs
     size, end, total, most = 0, 0, 0, []
     with (folder / f"{name}.text").open("wb") as text, (folder / f"{name}.ends").open("wb") as ends, (folder / f"{name}.counts").open("wb") as counts:
         for r in rows.toLocalIterator():
@@ -496,8 +498,14 @@ def vocabulary(texts: DataFrame, least: int = 2) -> Vocabulary:
             size, end = size + len(sizes), end + len(r.text)
             total += int(np.frombuffer(r.counts, dtype=np.int64).sum())
             most = [max(a, b) for a, b in zip_longest(most, r.most, fillvalue=0)]
-    if not size:
-        return Vocabulary({})
-    for x in ("text", "ends", "counts"):
-        context.addFile(str(folder / f"{name}.{x}"))
-    return Vocabulary(MappedWords(name, size), total, len(most) - 2, most=most)
+    if size:
+        for x in ("text", "ends", "counts"):
+            context.addFile(str(folder / f"{name}.{x}"))
+    return (MappedWords(name, size) if size else None), total, most
+
+
+def vocabulary(texts: DataFrame, least: int = 2) -> Vocabulary:
+    """All words of at least `least` occurrences with their counts over all texts."""
+    counted = texts.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words, total, most = mapped(counted.where(F.col("n") >= least))
+    return Vocabulary(words, total, len(most) - 2, most=most) if words else Vocabulary({})

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -135,6 +136,48 @@ def test_lookalikes_same_and_different():
         assert c.text(a) != c.text(b), (a, b)
 
 
+def test_lookalike_vocabulary_decides_rows(spark):
+    """Letters of nearly one shape are resolved by the vocabulary alone: without its word the records stay apart."""
+    rows = [("f", "1", "the pαper"), ("f", "2", "the paper"), ("f", "3", "αβ of α"), ("f", "4", "ab of a")]
+    df = spark.createDataFrame(rows, "field string, record_key string, text string")
+    known = spark.createDataFrame([("g", f"k{i}", "paper") for i in range(3)], "field string, record_key string, text string")
+    assert lookalike.lookalike_pairs(df).count() == 0
+    assert [tuple(r) for r in lookalike.lookalike_pairs(df.union(known)).collect()] == [("f", "1", "2")]
+    few = lookalike.Canonizer({"paper": 5, "piper": 5, "вода": 3})
+    assert few.text("pαper pαpεr вoда pιper") == "paper pαpεr вода piper"
+    assert lookalike.Canonizer({"paper": 5, "pyper": 5}).automaton.reach("pαper", 1) == {"paper": 1}
+
+
+def test_lookalike_automaton_by_brute_force():
+    rng = random.Random(11)
+    words = sorted({unicodedata.normalize("NFD", "".join(rng.choices("aоeаp", k=rng.randrange(1, 5)))) for _ in range(120)})
+    alphabet = "aαаpрoоeе"
+
+    def cost(token, word):
+        look = lambda x: lookalike.fold(x)
+        if len(token) != len(word):
+            return 99
+        return sum(0 if look(a) == look(b) else 1 if look(b) in lookalike._NEARLY.get(look(a), ()) else 99 for a, b in zip(token, word))
+
+    for _ in range(200):
+        token = "".join(rng.choices(alphabet, k=rng.randrange(1, 5)))
+        for most in (0, 1, 2):
+            want = {w: cost(token, w) for w in words if cost(token, w) <= most}
+            assert lookalike.Automaton(words).reach(token, most) == want, (token, most)
+
+
+def test_lookalike_classes(spark):
+    rows = [("f", str(i), "pressure" if i % 3 else "рressure") for i in range(9)] + [("f", "x", "alone"), ("f", "y", "alone"), ("f", "0", "рressure")]
+    df = spark.createDataFrame(rows, "field string, record_key string, text string")
+    got = {r.record_key: (r.representative, r["size"], r.links) for r in lookalike.lookalike_classes(df).collect()}
+    assert got == {str(i): ("0", 9, 3 if i % 3 else 6) for i in range(9)}
+    lookalike.SPLIT, before = 2, lookalike.SPLIT
+    try:
+        assert lookalike.lookalike_pairs(df).count() == 18
+    finally:
+        lookalike.SPLIT = before
+
+
 def test_lookalike_pairs(spark):
     rows = [("f", "1", "pressure"), ("f", "2", "рressure"), ("f", "3", "pressure"), ("f", "4", "Pressure"), ("g", "5", "pressurе"), ("f", "6", None), ("f", None, "pressurе"), ("f", "7", ""), ("f", "2", "рressure")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "field string, record_key string, text string, form int")
@@ -350,13 +393,35 @@ def test_abuse_held_out():
         y = rng.random() < 0.2
         bags.append((doc(y), float(y if rng.random() > 0.05 else not y), 1))
     model = abuse.fit(bags, [doc(rng.random() < 0.03) for _ in range(400)])
-    hits = sum(abuse.noisy_or(model.scores(doc(True))) >= abuse.ABUSIVE for _ in range(100))
-    false = sum(abuse.noisy_or(model.scores(doc(False))) >= abuse.ABUSIVE for _ in range(100))
+    hits = sum(abuse.noisy_or(model.scores(doc(True))) >= model.threshold for _ in range(100))
+    false = sum(abuse.noisy_or(model.scores(doc(False))) >= model.threshold for _ in range(100))
     assert hits >= 95 and false <= 3
     worst = doc(True)
     assert any(b.split("{}")[0][:8] in worst[int(model.scores(worst).argmax())] for b in bad)
 
 
+def test_abuse_logit_by_brute_force():
+    """A sentence's score is the sum over its distinct words, pairs in a row and pairs one apart."""
+    rng = random.Random(3)
+    bags = [([" ".join(rng.choices("all you are such a fool the noun of here".split(), k=5)) for _ in range(3)], 0.0, 1) for _ in range(60)]
+    bags = [(b, float(any("you are" in x or "fool" in x for x in b)), n) for b, _, n in bags]
+    model = abuse.fit(bags, [], least=1, lift=0.5)
+    number = model.words | {"^": abuse.START, "$": abuse.END}
+    assert model.weights
+    for said in [x.split() for b, _, _ in bags[:20] for x in b] + [[], ["unknown"], ["fool"], ["you", "unknown", "you"]]:
+        ends = ["^", *said, "$"]
+        keys = {number[w] for w in said if w in number}
+        keys |= {abuse.ROW | number[a] * abuse.WIDE + number[b] for a, b in zip(ends, ends[1:]) if a in number and b in number}
+        keys |= {abuse.APART | number[a] * abuse.WIDE + number[b] for a, b in zip(ends, ends[2:]) if a in number and b in number}
+        assert abs(model.logit(said) - model.bias - sum(model.weights.get(k, 0.0) for k in keys)) < 1e-9
+
+
+def test_abuse_threshold():
+    scores, labels = np.array([0.9, 0.8, 0.3, 0.01, 0.02]), np.array([True, True, True, False, False])
+    assert 0.02 < abuse.best_threshold(scores, labels) < 0.3
+    assert abuse.best_threshold(scores, labels | True) == abuse.best_threshold(scores[:0], labels[:0]) == 0.2
+
+
 def test_abuse_spellings_and_edges(spark):
     for s in ("you are st​upid", "YOU ARE S-T-U-P-I-D", "you are 5tup1d", "you are s t u p i d", "you are ѕtupіd", "you are stuuuupid"):
         assert abuse.tokens(s) == ["you", "are", "stupid"], s
