@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,6 @@ _WORD = re.compile(r"[^\W_]+")
 _BROKEN = re.compile(r"(\w)(?:[-‐‑–­¬][ \t]*\n\s*)(?=\w)")
 _SOFT = re.compile("[" + "".join(c for c in IGNORABLE) + "]")
 JOIN = "⁀"  # a mark no text keeps: it is a symbol, and symbols are dropped
-_JOINED = re.compile(rf"([^\W_]+){JOIN}(?=([^\W_]+))")
 
 
 def plain(text: str) -> str:
@@ -34,26 +33,41 @@ def plain(text: str) -> str:
     return look if look.isascii() else unicodedata.normalize("NFC", look)
 
 
-def words(text: str, known: dict[str, int] | None = None) -> list[list[str]]:
-    """The readings of a text as runs of letters and digits: a broken word is joined if the joined word is known, else split; where both
-    are possible there is a second reading."""
-    look = plain(text)
-    if JOIN not in look:
-        return [_WORD.findall(look)]
-    unclear = False
+def readings(look: str, known: Container[str] | None, least: int = 12) -> Iterator[tuple[int, list[str]]]:
+    """The readings of a plain text as runs of letters and digits, each with the number of its first word in the first reading.
 
-    def decide(m: re.Match) -> str:
-        nonlocal unclear
-        left, right = m.group(1), m.group(2)
-        if known is None or left + right in known:
-            unclear = unclear or (known is not None and left in known and right in known)
-            return left
-        return left + " "
+    The first reading is whole: a broken word is joined if the joined word is known (known None: always), else split. Where both the joined word and
+    its parts are known (known None: everywhere) the break is unclear: for each unclear break that is split, and all ways to read the unclear
+    ones within `least` words behind it, there is a reading of the words around, so each passage of `least` words stands in one.
+    """
+    if JOIN not in look:
+        yield 0, _WORD.findall(look)
+        return
+    parts, glued, end = [], [], -1
+    for m in _WORD.finditer(look):
+        glued.append(look[end : m.start()] == JOIN if parts else False)
+        parts.append(m.group())
+        end = m.end()
+    # glued[i]: part i may join the part before it.
+    joins = [g and (known is None or parts[i - 1] + parts[i] in known) for i, g in enumerate(glued)]
+    unclear = [i for i, j in enumerate(joins) if j and (known is None or (parts[i - 1] in known and parts[i] in known))]
+
+    def read(start: int, stop: int, split: set[int]) -> list[str]:
+        out: list[str] = []
+        for i in range(start, stop):
+            if joins[i] and i not in split and i > start:
+                out[-1] += parts[i]
+            else:
+                out.append(parts[i])
+        return out
 
-    readings = [_WORD.findall(_JOINED.sub(decide, look).replace(JOIN, " "))]
-    if unclear:
-        readings.append(_WORD.findall(look.replace(JOIN, " ")))
-    return readings
+    yield 0, read(0, len(parts), set())
+    for n, i in enumerate(unclear):
+        near = [k for k in unclear[n + 1 :] if k - i < 2 * least]
+        start, stop = max(0, i - 2 * least), min(len(parts), (near[-1] if near else i) + 2 * least)
+        at = start - sum(joins[1 : start + 1])
+        for m in range(1 << len(near)):
+            yield at, read(start, stop, {i} | {k for b, k in enumerate(near) if m >> b & 1})
 
 
 FOUND = "doc_id long, item_id long, first_word int, last_word int"
@@ -66,18 +80,20 @@ class Passages:
         self.least, self.vocabulary = least, {}
         rows, owners = [], []
         for item, text in items:
-            for reading in words(text or ""):
-                ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in reading]
-                for i in range(len(ids) - least + 1):
-                    rows.append(ids[i : i + least])
-                    owners.append(item)
-        self.items = np.array(owners, dtype=np.int64)
-        self.phrases = np.array(rows, dtype=np.int64).reshape(len(rows), least)
-
-    def runs(self, text: str) -> Iterator[tuple[int, list[int]]]:
-        """Runs of at least `least` known words, with the number of their first word in its reading."""
+            for _, reading in readings(plain(text or ""), None, least):
+                ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in reading], dtype=np.int32)
+                if len(ids) >= least:
+                    rows.append(np.lib.stride_tricks.sliding_window_view(ids, least))
+                    owners.append(np.full(len(ids) - least + 1, item, dtype=np.int64))
+        phrases = np.concatenate(rows) if rows else np.zeros((0, least), dtype=np.int32)
+        owner = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
+        once = np.unique(np.column_stack([owner, phrases]), axis=0)
+        self.items, self.phrases = once[:, 0].astype(np.int64), once[:, 1:].astype(np.int64)
+
+    def runs(self, look: str) -> Iterator[tuple[int, list[int]]]:
+        """Runs of at least `least` known words of a plain text, with the number of their first word in its reading."""
         get = self.vocabulary.get
-        for reading in words(text, self.vocabulary):
+        for offset, reading in readings(look, self.vocabulary, self.least):
             ids = [get(w, 0) for w in reading]
             at = 0
             while at <= len(ids) - self.least:
@@ -92,15 +108,15 @@ class Passages:
                 while end < len(ids) and ids[end]:
                     end += 1
                 if end - start >= self.least:
-                    yield start, ids[start:end]
+                    yield offset + start, ids[start:end]
                 at = end + 1
 
-    def search(self, docs: list[int], texts: list[str | None]) -> list[tuple[int, int, int, int]]:
-        """(doc, item, first word, last word) of the merged passages in a shard."""
+    def search(self, docs: list[int], looks: list[str]) -> list[tuple[int, int, int, int]]:
+        """(doc, item, first word, last word) of the merged passages in a shard of plain texts."""
         parts, starts, owner, offset, size = [], [], [], [], 0
         stop = len(self.vocabulary) + 1
-        for doc, text in zip(docs, texts):
-            for first, run in self.runs(text) if text else ():
+        for doc, look in zip(docs, looks):
+            for first, run in self.runs(look) if look else ():
                 parts += [run, [stop]]
                 starts.append(size)
                 owner.append(doc)
@@ -129,45 +145,43 @@ def leaked(documents: DataFrame, items: DataFrame, least: int = 12, block_words:
     """(doc_id, item_id, first_word, last_word): spans of at least `least` consecutive words of an item's text in a document.
 
     Words are runs of letters and digits, folded; look-alikes, invisible characters, markup, and line breaks inside a word are
-    disregarded. The items are read to the driver in blocks of block_words words and each block is searched in all shards;
-    a shard is what a task reads, up to shard_chars characters at a time. Null texts and ids are left out; items of
-    fewer words match nothing; a repeated row gives equal rows.
+    disregarded. The items are read to the driver in blocks of block_words words, each of which is broadcast; the corpus is read and folded once, and
+    each shard of it (what a task reads, up to shard_chars characters at a time) is searched for all blocks. Null texts and ids are
+    left out; items of fewer words match nothing; a repeated row gives equal rows.
     """
     corpus = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
-    def searched(block: Passages) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            docs: list[int] = []
-            texts: list[str] = []
-            size = 0
-
-            def out() -> pa.RecordBatch:
-                columns = list(zip(*block.search(docs, texts))) or [(), (), (), ()]
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "item_id", "first_word", "last_word"])
-
-            for batch in batches:
-                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    docs.append(doc)
-                    texts.append(text)
-                    size += len(text)
-                    if size >= shard_chars:
-                        yield out()
-                        docs, texts, size = [], [], 0
-            if docs:
-                yield out()
-
-        return corpus.mapInArrow(run, FOUND)
-
+    context = documents.sparkSession.sparkContext
     given = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    found, block, size = None, [], 0
+    blocks, block, size = [], [], 0
     for row in given.toLocalIterator():
         block.append((row.item_id, row.text))
         size += row.text.count(" ") + 1
         if size >= block_words:
-            part = searched(Passages(block, least))
-            found, block, size = part if found is None else found.union(part), [], 0
-    if block or found is None:
-        part = searched(Passages(block, least))
-        found = part if found is None else found.union(part)
-    return found
+            blocks.append(context.broadcast(Passages(block, least)))
+            block, size = [], 0
+    if block or not blocks:
+        blocks.append(context.broadcast(Passages(block, least)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs: list[int] = []
+        looks: list[str] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for b in blocks:
+                columns = list(zip(*b.value.search(docs, looks))) or [(), (), (), ()]
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "item_id", "first_word", "last_word"])
+
+        for batch in batches:
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                docs.append(doc)
+                looks.append(plain(text))
+                size += len(text)
+                if size >= shard_chars:
+                    yield from out()
+                    docs, looks, size = [], [], 0
+        if docs:
+            yield from out()
+
+    return corpus.mapInArrow(run, FOUND)

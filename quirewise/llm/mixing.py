@@ -38,38 +38,43 @@ def token_counts(documents: DataFrame, path: str | None = None, folder: str = "/
     return named.mapInArrow(run, "doc_id long, source string, tokens long")
 
 
-def mixture(sizes: DataFrame, targets: DataFrame, seed: int = 0, buckets: int = 256) -> DataFrame:
+def mixture(sizes: DataFrame, targets: DataFrame, seed: int = 0, total: int | None = None, each: int = 50_000) -> DataFrame:
     """(doc_id, source, tokens, uses): how often each document is used so that sources have their target shares of all tokens.
 
     sizes: doc_id, source, tokens; targets: source, target_share, max_repeats. The total is the largest for which no source needs more
-    than max_repeats uses of its tokens; a source without tokens can't contribute, and the others keep their proportions. A source's
-    budget is met by whole epochs and then by its documents in hash-random order up to the budget: prefix sums run within
-    the buckets of a range of hashes and over the sums of the buckets, so no source is ordered in one task. A document at the cut is used
-    once more if that brings the source nearer to its budget. Repeated rows count once; null sources, shares and
+    than max_repeats uses of its tokens, or `total` tokens: then a source that hasn't enough gives all it may, and falls short. A source without
+    tokens can't contribute, and the others keep their proportions. A source's budget is met by whole epochs and then by its documents in
+    hash-random order up to the budget: prefix sums run within ranges of hashes of about `each` documents and over the sums of the ranges, so
+    no source is ordered in one task, however large it is. A document at the cut is used once more if that brings the source nearer to its
+    budget, so a source misses its budget by half its longest document at most. Repeated rows count once; null sources, shares and
     repeats take no part.
     """
-    order = F.xxhash64("doc_id", F.lit(seed))
-    docs = cut(sizes.where("tokens > 0").groupBy("doc_id", "source").agg(F.max("tokens").alias("tokens")).withColumn("at", order).withColumn("bucket", F.floor((F.col("at") / 2.0**64 + 0.5) * buckets).cast("int")), "sizes")
+    docs = cut(sizes.where("tokens > 0").groupBy("doc_id", "source").agg(F.max("tokens").alias("tokens")).withColumn("at", F.xxhash64("doc_id", F.lit(seed))), "sizes")
     goals = targets.where("source is not null and target_share > 0 and max_repeats > 0").groupBy(source_name().alias("source")).agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("most"))
-    sums = docs.groupBy("source", "bucket").agg(F.sum("tokens").alias("n"))
-    have = sums.groupBy("source").agg(F.sum("n").alias("have")).join(goals, "source")
+    sources = docs.groupBy("source").agg(F.sum("tokens").alias("have"), F.count("*").alias("documents")).join(goals, "source")
     whole = Window.partitionBy(F.lit(0))  # one row a target source
-    budget = have.withColumn("total", F.min(F.col("have") * F.col("most") / F.col("share")).over(whole)).select(
-        "source", F.floor(F.col("total") * F.col("share")).cast("bigint").alias("budget"), "have", "most"
-    )
-    before = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("source", "bucket", "before")
-    own = F.sum("tokens").over(Window.partitionBy("source", "bucket").orderBy("at", "doc_id"))
-    placed = docs.join(before, ["source", "bucket"]).withColumn("upto", own + F.col("before")).join(F.broadcast(budget), "source")
+    largest = F.min(F.col("have") * F.col("most") / F.col("share")).over(whole) if total is None else F.lit(float(total)) / F.sum("share").over(whole)
+    budget = cut(
+        sources.withColumn("total", largest).select(
+            "source", F.least(F.floor(F.col("total") * F.col("share")), F.col("have") * F.col("most")).cast("bigint").alias("budget"), "have", "most",
+            F.greatest(F.lit(1), F.ceil(F.col("documents") / each)).cast("bigint").alias("ranges"),
+        ), "budgets",
+    )
+    placed = docs.join(budget, "source").withColumn("range", F.least(F.floor((F.col("at") / 2.0**64 + 0.5) * F.col("ranges")), F.col("ranges") - 1).cast("bigint"))
+    sums = placed.groupBy("source", "range").agg(F.sum("tokens").alias("n"))
+    before = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("source", "range", "before")
+    own = F.sum("tokens").over(Window.partitionBy("source", "range").orderBy("at", "doc_id"))
+    upto = placed.join(before, ["source", "range"]).withColumn("upto", own + F.col("before"))
     rest = F.col("budget") % F.col("have")
     # Nearer with this document than without it: at least half of it lies within the rest.
     extra = (F.col("upto") * 2 - F.col("tokens") <= rest * 2).cast("int")
     uses = F.least(F.floor(F.col("budget") / F.col("have")).cast("int") + extra, F.col("most"))
-    return placed.select("doc_id", "source", "tokens", uses.alias("uses")).where("uses > 0")
+    return upto.select("doc_id", "source", "tokens", uses.alias("uses")).where("uses > 0")
 
 
-def mixture_report(sizes: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
+def mixture_report(sizes: DataFrame, targets: DataFrame, seed: int = 0, total: int | None = None) -> DataFrame:
     """One row a target source: documents used, tokens with repeats, target share, share reached, most uses."""
-    chosen = mixture(sizes, targets, seed).groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("tokens") * F.col("uses")).alias("tokens"), F.max("uses").alias("most_uses"))
+    chosen = mixture(sizes, targets, seed, total).groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("tokens") * F.col("uses")).alias("tokens"), F.max("uses").alias("most_uses"))
     goals = targets.where("source is not null").groupBy(source_name().alias("source")).agg(F.max("target_share").alias("target_share"))
     out = goals.join(chosen, "source", "left").fillna(0, ["documents", "tokens", "most_uses"])
     return out.withColumn("reached_share", F.col("tokens") / F.sum("tokens").over(Window.partitionBy(F.lit(0))))

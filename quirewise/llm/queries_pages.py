@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirewise.llm.encoding import garbled, trained_on
-from quirewise.llm.lookalike import lookalike_pairs
+from quirewise.llm.lookalike import lookalike_classes, lookalike_pairs
 from quirewise.llm.repeated_lines import repeated_lines, without_lines
 from quirewise.llm.scans import scan_noise, scan_paragraphs
 from quirewise.llm.splitting import split_items
+from quirewise.llm.sqlforms import look_sql
 from quirewise.storage import table
 
 
@@ -50,8 +51,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_repaired(spark, sf_dir).select("field", "record_key").distinct()
 
 
-def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages and equations that look the same but are written with other characters."""
+def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, equations = table(spark, sf_dir, "pdf"), table(spark, sf_dir, "equation_index")
     fragments = F.array_join(F.transform("raw_fragments", lambda x: F.coalesce(x, F.lit(""))), "\x1f")
     records = (
@@ -59,7 +59,17 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         .union(equations.select(F.lit("equation_index.sanitized_native_text"), "record_id", "sanitized_native_text"))
         .union(equations.select(F.lit("equation_index.raw_fragments"), "record_id", fragments))
     )
-    return lookalike_pairs(records.where(r"text rlike '(?U)[^\\s\\x{1f}]'"))
+    return records.where(r"text rlike '(?U)[^\\s\\x{1f}]'")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and equations that look the same but are written with other characters."""
+    return lookalike_pairs(p4_records(spark, sf_dir))
+
+
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as classes: one row a record, with its class and the number of its links."""
+    return lookalike_classes(p4_records(spark, sf_dir)).select("field", "record_key", "representative", "size", "links")
 
 
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +96,13 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_items(lengths, valid).select(F.col("item").alias("book"), F.col("first").alias("first_page"), F.col("last").alias("last_page"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p1_cleaned": p1_cleaned, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_classes": p4_classes, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_found": p6_found}
+
+LOOKS = f"""values_ AS (
+      SELECT 'pdf.text' AS field, page_id AS k, text FROM pdf
+      UNION ALL SELECT 'equation_index.sanitized_native_text', record_id, sanitized_native_text FROM equation_index
+      UNION ALL SELECT 'equation_index.raw_fragments', record_id, array_to_string(list_transform(raw_fragments, lambda x: coalesce(x, '')), chr(31)) FROM equation_index),
+    looks AS (SELECT DISTINCT field, k, text, {look_sql("text")} AS look FROM values_ WHERE k IS NOT NULL AND regexp_matches(text, '[^\\s\\x1f\\p{{Z}}]'))"""
 
 SQL = {
     "p1_found": r"""
@@ -116,4 +132,10 @@ SQL = {
       SELECT * FROM ends WHERE first_page = 1
       UNION ALL SELECT e.* FROM walk w JOIN ends e ON e.book = w.book AND e.first_page = w.last_page - 1 WHERE w.last_page < w.length)
     SELECT book, first_page, last_page FROM walk""",
+    "p4_found": f"""
+    WITH {LOOKS} SELECT DISTINCT a.field, a.k AS left_key, b.k AS right_key FROM looks a JOIN looks b ON a.field = b.field AND a.look = b.look AND a.text <> b.text AND a.k < b.k""",
+    "p4_classes": f"""
+    WITH {LOOKS}, c AS (SELECT field, look, count(*) AS size, min(k) AS representative FROM looks GROUP BY 1, 2 HAVING count(DISTINCT text) > 1),
+    f AS (SELECT field, look, text, count(*) AS same FROM looks GROUP BY 1, 2, 3)
+    SELECT field, k AS record_key, representative, size, size - same AS links FROM looks JOIN c USING (field, look) JOIN f USING (field, look, text)""",
 }

@@ -352,7 +352,17 @@ def test_leakage(spark):
     assert {(r.doc_id, r.item_id) for r in leakage.leaked(d, i, block_words=5).collect()} == got
     assert leakage.leaked(d, i.limit(0)).count() == 0 and leakage.leaked(d.limit(0), i).count() == 0
     span = leakage.leaked(d.where("doc_id = 1").distinct(), i).collect()
-    assert [(r.first_word, r.last_word) for r in span] == [(2, 2 + len(leakage.words(item, {"k3": 1})[0]) - 1)]
+    assert [(r.first_word, r.last_word) for r in span] == [(2, 2 + len(next(leakage.readings(leakage.plain(item), {"k3": 1}))[1]) - 1)]
+
+
+def test_leakage_decides_each_break(spark):
+    """A compound broken at its own hyphen beside a word that the typesetter broke; item texts may be broken themselves."""
+    item = "one two three well defined state of the material was seen by all of us and welldefined ones"
+    docs = [(1, "x one two three well-\ndefined state of the mate-\nrial was seen by all"), (2, "one two three welldefined state of the material was seen by all"), (3, item.replace("material", "mat-\nerial"))]
+    broken = [(7, item), (8, "so far the long-\nrange order of this metal is not known at any low field")]
+    docs += [(4, "so far the long range order of this metal is not known"), (5, "so far the longrange order of this metal is not known"), (6, "so far the other range order of this metal is not known")]
+    got = {(r.doc_id, r.item_id) for r in leakage.leaked(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(broken, "item_id long, text string"), least=10).collect()}
+    assert got == {(1, 7), (3, 7), (4, 8), (5, 8)}
 
 
 def test_mixture_shares(spark):
@@ -374,6 +384,11 @@ def test_mixture_shares(spark):
     report = {r.source: r for r in mixing.mixture_report(s, t).collect()}
     assert report["none"].tokens == 0 and abs(report["b"].reached_share - total["b"] / everything) < 1e-9
     assert mixing.mixture(s.limit(0), t).count() == 0
+    # The ranges of hashes change nothing, and a given total is met as far as the sources reach.
+    used = {(r.doc_id, r.source): r.uses for r in mixing.mixture(s, t).collect()}
+    assert {(r.doc_id, r.source): r.uses for r in mixing.mixture(s, t, each=7).collect()} == used
+    asked = sum(r.tokens * r.uses for r in mixing.mixture(s, t, total=everything // 2).collect())
+    assert abs(asked - everything // 2) < everything * 0.02
 
 
 def test_abuse_held_out():
