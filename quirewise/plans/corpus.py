@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quirewise.functions.identity import stable_id
-from quirewise.functions.text import basic_clean, contains_phrase, latex_wellformed, path_valid
+from quirewise.functions.text import contains_phrase, path_valid
 from quirewise.operators import corpus as C
 from quirewise.sources import views as V
 from quirewise.storage import table
@@ -144,24 +144,6 @@ def page_locator(spark, d):
     return toc.join(pages, "book").where(contains_phrase(F.col("text"), F.col("title"))).groupBy("entry_id").agg(F.count("*").alias("pages"), F.min("page_id").alias("first_page_id"))
 
 
-def equation_latex(spark, d):
-    once = table(spark, d, "equation_index").dropDuplicates(["record_id"]).where("latex_proposal is not null")
-    return once.select("record_id", latex_wellformed(F.col("latex_proposal")).alias("wellformed"))
-
-
-def equation_labels(spark, d):
-    once = table(spark, d, "equation_index").dropDuplicates(["record_id"]).where("sanitized_native_text is not null")
-    clean = basic_clean(F.col("sanitized_native_text"))
-    label = F.regexp_extract(clean, r"\(([A-Za-z]?[0-9]+(?:\.[0-9]+)*[A-Za-z]?)\)$", 1)
-    return once.select("record_id", label.alias("label"), F.regexp_count(clean, F.lit(r"[=≈≤≥≠∝∑∫√∂∇∞±·^_]")).cast("bigint").alias("signals"))
-
-
-def equation_tiers(spark, d):
-    once = table(spark, d, "equation_index").dropDuplicates(["record_id"])
-    tier = F.when(F.col("completeness") >= 0.8, "primary").when(F.col("completeness") >= 0.4, "auxiliary").otherwise("rejected")
-    return once.groupBy(tier.alias("computed_tier"), "tier").agg(F.count("*").alias("rows"))
-
-
 def equation_reasons(spark, d):
     once = table(spark, d, "equation_index").dropDuplicates(["record_id"])
     return once.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("rows"))
@@ -187,7 +169,7 @@ def equation_context(spark, d):
 QUERIES = {f.__name__: f for f in (
     corpus_validation_summary, corpus_plan_dedup, low_text_pages, stable_ids, page_quality, block_text_compose, book_text_export, collection_inventory, inventory_measures, provenance_findings,
     page_windows, code_line_chunks, books_difference, page_coverage, replica_agreement, model_consensus, materialization_counts, overall_ocr_status, work_deferral, media_types, artifact_paths,
-    page_locator, equation_latex, equation_labels, equation_tiers, equation_reasons, evidence_selection, equation_context)}
+    page_locator, equation_reasons, evidence_selection, equation_context)}
 
 EQ = "eq AS (SELECT DISTINCT ON (record_id) * FROM equation_index)"
 SQL = {
@@ -242,10 +224,8 @@ SQL = {
     "page_locator": f"""WITH {V.SQL_PAGES}, t AS (SELECT DISTINCT entry_id, book, ' ' || trim(regexp_replace(lower(title), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') || ' ' AS k FROM toc_entries WHERE title IS NOT NULL),
       p AS (SELECT book, page_id, ' ' || trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') || ' ' AS words FROM pages WHERE text IS NOT NULL)
       SELECT entry_id, count(*) AS pages, min(page_id) AS first_page_id FROM t JOIN p USING (book) WHERE length(k) > 2 AND contains(words, k) GROUP BY entry_id""",
-    "equation_labels": f"""WITH {EQ}, c AS (SELECT record_id, trim(regexp_replace(replace(regexp_replace(sanitized_native_text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', ' ', 'g'), chr(173), ''),
-      '[\\s\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{202f}}\\x{{3000}}]+', ' ', 'g'), ' ') AS t FROM eq WHERE sanitized_native_text IS NOT NULL)
-      SELECT record_id, regexp_extract(t, '\\(([A-Za-z]?[0-9]+(?:\\.[0-9]+)*[A-Za-z]?)\\)$', 1) AS label, length(regexp_extract_all(t, '[=≈≤≥≠∝∑∫√∂∇∞±·^_]'))::BIGINT AS signals FROM c""",
-    "equation_tiers": f"""WITH {EQ} SELECT CASE WHEN completeness >= 0.8 THEN 'primary' WHEN completeness >= 0.4 THEN 'auxiliary' ELSE 'rejected' END AS computed_tier, tier, count(*) AS rows FROM eq GROUP BY 1, 2""",
+
+
     "equation_reasons": f"WITH {EQ} SELECT reason, count(*) AS rows FROM (SELECT unnest(reasons) AS reason FROM eq) GROUP BY reason",
     "evidence_selection": f"""WITH {EQ}, {V.SQL_PAGES}, p AS (SELECT DISTINCT book, page_index FROM pages WHERE trim(text, ' ') <> '')
       SELECT record_id, CASE WHEN p.book IS NULL THEN 'missing_page' WHEN latex_proposal IS NULL THEN 'missing_recognition' WHEN list_contains(reasons, 'recognition_missing') THEN 'warning_inspection' ELSE 'available' END AS outcome

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from quirewise.storage import table
 
 
+def once(df: DataFrame, key: str) -> DataFrame:
+    """One row a key: of repeated rows that differ, the least in the order of the columns. Null keys are left out."""
+    others = [c for c in df.columns if c != key]
+    least = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+    return least.select(key, *[F.col(f"_row.`{c}`").alias(c) for c in others])
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pdf").select("page_id", "book", "source", "lang", "page_index", "printed_page_label", "extraction_method", "text").distinct()
 
@@ -18,8 +25,8 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ocr(spark: SparkSession, sf_dir: str, items: str, *columns: str) -> DataFrame:
-    once = table(spark, sf_dir, "ocr_results").dropDuplicates(["selection_result_id"])
-    return once.select("selection_result_id", "page_id", F.explode(items).alias("x")).select("selection_result_id", "page_id", *[f"x.{c}" for c in columns], F.col("x.pixel_bounding_box").alias("box"))
+    results = once(table(spark, sf_dir, "ocr_results").select("selection_result_id", "page_id", items), "selection_result_id")
+    return results.select("selection_result_id", "page_id", F.explode(items).alias("x")).select("selection_result_id", "page_id", *[f"x.{c}" for c in columns], F.col("x.pixel_bounding_box").alias("box"))
 
 
 def ocr_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
