@@ -91,31 +91,10 @@ def page_number_runs(spark, d):
     return T.number_runs(V.blocks(spark, d))
 
 
-def _lines(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("ordinal", "line"))
-
-
-def headings(spark, d):
-    return T.headings(_lines(spark, d))
-
-
-def section_parents(spark, d):
-    return T.section_parents(T.headings(_lines(spark, d)))
-
-
-def bibliography_entries(spark, d):
-    return T.bibliography(_lines(spark, d))
-
-
 def hyphen_decisions(spark, d):
     return T.hyphen_decisions(V.pages(spark, d).select(F.col("page_id").alias("doc_id"), "text"))
 
 
-def clean_transcript_pages(spark, d):
-    blocks = V.blocks(spark, d)
-    return T.clean_pages(V.pages(spark, d), blocks, T.number_runs(blocks)).select("page_id", "kept_lines", "number_lines", F.sha2("clean_text", 256).alias("clean_sha256"))
-
-
 def toc_heading_matches(spark, d):
     toc = table(spark, d, "toc_entries").distinct().where("page_index is not null")
     return T.toc_matches(toc, V.blocks(spark, d))
@@ -163,7 +142,7 @@ def event_sessions(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     geometry_classify, ocr_line_assembly, reading_order_inversions, block_region_overlap, horizontal_components, row_gap_groups, column_split, table_row_clusters, repeated_margin_keys, merged_stream, region_mapping, union_boxes,
-    nms_admission, detector_filter, page_number_runs, headings, section_parents, bibliography_entries, hyphen_decisions, clean_transcript_pages, toc_heading_matches, figure_captions, private_use_glyphs, journal_chain,
+    nms_admission, detector_filter, page_number_runs, hyphen_decisions, toc_heading_matches, figure_captions, private_use_glyphs, journal_chain,
     journal_publication, event_windows, event_sessions)}
 
 
@@ -179,11 +158,6 @@ def _value(x: str) -> str:
       list_sum(list_transform(list_zip({values}, {values}[2:]), lambda p: CASE WHEN p[1] < coalesce(p[2], 0) THEN -p[1] ELSE p[1] END))::BIGINT END"""
 
 
-DOC_LINES = "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ordinal FROM documents)"
-_KIND = f"""CASE WHEN regexp_matches({_clean("line")}, '(?i)^\\s*appendix(?:\\s+([A-Za-z0-9]+))?') THEN 'appendix' WHEN lower({_clean("line")}) IN ('references', 'bibliography', 'works cited', 'literature cited') THEN 'bibliography'
-   WHEN regexp_matches({_clean("line")}, '^[0-9]+(?:\\.[0-9]+)*[.)]?\\s+\\S') AND length({_clean("line")}) <= 60 AND NOT regexp_matches({_clean("line")}, '[.;,]$') THEN 'numbered' END"""
-HEADS = f"""{DOC_LINES}, heads AS (SELECT doc_id, ordinal, kind, CASE WHEN label = '' THEN 1 ELSE length(label) - length(replace(label, '.', '')) + 1 END AS level, title FROM
-   (SELECT doc_id, ordinal, {_KIND} AS kind, regexp_extract({_clean("line")}, '^([0-9]+(?:\\.[0-9]+)*)', 1) AS label, {_clean("line")} AS title FROM lines) WHERE kind IS NOT NULL)"""
 RUNS = f"""{V.SQL_BLOCKS}, numbered AS (SELECT DISTINCT book, page_index, value FROM (SELECT book, page_index, {_value("line")} AS value FROM blocks) WHERE value IS NOT NULL AND page_index IS NOT NULL),
    runs AS (SELECT book, min(page_index)::BIGINT AS first_index, max(page_index)::BIGINT AS last_index, min(value) AS first_value, count(*) AS pages FROM
    (SELECT *, value - page_index AS shift, page_index - row_number() OVER (PARTITION BY book, value - page_index ORDER BY page_index) AS island FROM numbered) GROUP BY book, shift, island HAVING count(*) >= 3)"""
@@ -228,19 +202,10 @@ SQL = {
     "union_boxes": f"WITH {V.SQL_LINES} SELECT page_id, min(box.x0) AS x0, min(box.y0) AS y0, max(box.x1) AS x1, max(box.y1) AS y1 FROM lines GROUP BY page_id",
     "detector_filter": "SELECT CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'unsupported_label' WHEN l_discount > 0.05 THEN 'low_confidence' ELSE 'accepted' END AS status, count(*) AS rows FROM lineitem GROUP BY 1",
     "page_number_runs": f"WITH {RUNS} SELECT * FROM runs",
-    "headings": f"WITH {HEADS} SELECT doc_id, ordinal::BIGINT AS ordinal, kind, level::BIGINT AS level, title FROM heads",
-    "section_parents": f"""WITH {HEADS} SELECT doc_id, ordinal::BIGINT AS ordinal, level::BIGINT AS level, (SELECT max(p.ordinal)::BIGINT FROM heads p WHERE p.doc_id = h.doc_id AND p.ordinal < h.ordinal AND p.level < h.level) AS parent_ordinal FROM heads h""",
-    "bibliography_entries": f"""WITH {DOC_LINES}, m AS (SELECT doc_id, ordinal, line, {_KIND} AS kind FROM lines),
-      r AS (SELECT *, last_value(CASE WHEN kind IN ('bibliography', 'appendix') THEN kind END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ordinal ROWS UNBOUNDED PRECEDING) AS region FROM m)
-      SELECT doc_id, ordinal::BIGINT AS ordinal, {_clean("line")} AS entry FROM r WHERE region = 'bibliography' AND regexp_matches(line, '^\\s*(?:\\[[0-9]+\\]|[0-9]+[.)]\\s+|[A-Z][^\\n]{{0,100}}\\([0-9]{{4}}[a-z]?\\))')""",
     "hyphen_decisions": f"""WITH {V.SQL_PAGES}, hits AS (SELECT page_id, text, unnest(regexp_extract_all(text, '[A-Za-z]{{2,}}-[ \\t]*\\n\\s*[a-z][A-Za-z]*')) AS hit FROM pages),
       w AS (SELECT page_id, ' ' || regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}\\-]+', ' ', 'g') || ' ' AS words, lower(regexp_extract(hit, '^([A-Za-z]+)-', 1)) AS l, lower(regexp_extract(hit, '([a-z][A-Za-z]*)$', 1)) AS r FROM hits)
       SELECT page_id AS doc_id, l AS "left", r AS "right", CASE WHEN contains(words, ' ' || l || r || ' ') AND NOT contains(words, ' ' || l || '-' || r || ' ') THEN 'join'
       WHEN contains(words, ' ' || l || '-' || r || ' ') AND NOT contains(words, ' ' || l || r || ' ') THEN 'keep_hyphen' ELSE 'keep_break' END AS decision, count(*) AS n FROM w GROUP BY 1, 2, 3, 4""",
-    "clean_transcript_pages": f"""WITH {RUNS}, x AS (SELECT DISTINCT book, first_index + i AS page_index, first_value + i AS value FROM (SELECT *, unnest(range(0, last_index - first_index + 1)) AS i FROM runs)),
-      f AS (SELECT b.page_id, ordinal, {_clean("line")} AS clean, x.value IS NOT NULL AS excluded FROM (SELECT *, {_value("line")} AS value FROM blocks) b LEFT JOIN x ON x.book = b.book AND x.page_index = b.page_index AND x.value = b.value),
-      g AS (SELECT page_id, count(*) FILTER (WHERE NOT excluded AND clean <> '') AS kept_lines, count(*) FILTER (WHERE excluded) AS number_lines, string_agg(clean, chr(10) ORDER BY ordinal) FILTER (WHERE NOT excluded AND clean <> '') AS t FROM f GROUP BY page_id)
-      SELECT DISTINCT p.page_id, coalesce(kept_lines, 0) AS kept_lines, coalesce(number_lines, 0) AS number_lines, sha256(coalesce(t, '')) AS clean_sha256 FROM pages p LEFT JOIN g USING (page_id)""",
     "toc_heading_matches": f"""WITH {V.SQL_BLOCKS}, t AS (SELECT DISTINCT *, lower(regexp_replace({_clean("title")}, '^[0-9.]+\\s+', '')) AS key FROM toc_entries WHERE page_index IS NOT NULL),
       l AS (SELECT *, lower(regexp_replace({_clean("line")}, '^[0-9.]+\\s+', '')) AS key FROM blocks)
       SELECT entry_id, min(page_id) AS page_id, min(ordinal)::BIGINT AS ordinal FROM t JOIN l USING (book, page_index, key) WHERE key <> '' GROUP BY entry_id HAVING count(*) = 1""",

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quirewise.plans import corpus, equations, evidence, incremental, layout
+from quirewise.plans import corpus, equations, evidence, incremental, layout, transcript
 
-MODULES = [corpus, equations, evidence, incremental, layout]
+MODULES = [corpus, equations, evidence, incremental, layout, transcript]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
