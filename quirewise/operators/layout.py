@@ -15,52 +15,6 @@ from quirewise.functions.text import basic_clean
 from quirewise.storage import cut
 
 
-def page_layout(pages: DataFrame, blocks: DataFrame, column_gap: float = 0.04, support: float = 0.25, bottom: float = 0.78, bottom_gap: float = 0.025, narrow: float = 0.28, balance: float = 0.62) -> DataFrame:
-    """(page_id, layout, reason, confidence) of pages (page_id, width, height, rotation) with blocks (page_id, block_id, box).
-
-    The first that fits: no blocks (empty), a rotated page, overlapping blocks, text apart at the bottom (each ambiguous), then
-    the widest split between blocks ordered by x0 whose sides both span at least `support` of the blocks' height: none means
-    one column, a gap under `column_gap` of the width is weak, sides of unlike widths are a sidebar (both ambiguous), else
-    columns. Every page is represented; a null box takes no part.
-    """
-    usable = blocks.where(G.kind(F.col("box")) == "valid").select("page_id", "block_id", "box").join(pages.select("page_id", "width", "height"), "page_id")
-    a, b = usable.select("page_id", F.col("block_id").alias("ia"), F.col("box").alias("a")), usable.select("page_id", F.col("block_id").alias("ib"), F.col("box").alias("b"))
-    crossing = a.join(b, "page_id").where((F.col("ia") < F.col("ib")) & (G.intersection(F.col("a"), F.col("b")) > 0)).groupBy("page_id").agg(F.count("*").alias("crossings"))
-    y = Window.partitionBy("page_id").orderBy("box.y0", "box.y1", "block_id")
-    above = F.max("box.y1").over(y.rowsBetween(Window.unboundedPreceding, -1))
-    apart = usable.withColumn("above", above).groupBy("page_id").agg(F.max(((F.col("box.y0") / F.col("height") >= bottom) & (F.col("box.y0") - F.col("above") >= bottom_gap * F.col("height"))).cast("int")).alias("apart"))
-    x = Window.partitionBy("page_id").orderBy("box.x0", "box.x1", "block_id")
-    left, right = x.rowsBetween(Window.unboundedPreceding, -1), x.rowsBetween(0, Window.unboundedFollowing)
-    span = lambda w: F.max("box.y1").over(w) - F.min("box.y0").over(w)
-    everything = Window.partitionBy("page_id")
-    sides = usable.select(
-        "page_id", "width", "block_id", "box", F.max("box.x1").over(left).alias("lx1"), F.min("box.x0").over(left).alias("lx0"), F.max("box.x1").over(right).alias("rx1"),
-        span(left).alias("ls"), span(right).alias("rs"), (F.max("box.y1").over(everything) - F.min("box.y0").over(everything)).alias("all"),
-    )
-    cuts = sides.where((F.col("box.x0") >= F.col("lx1")) & (F.col("ls") >= support * F.col("all")) & (F.col("rs") >= support * F.col("all")))
-    best = cuts.withColumn("gap", F.col("box.x0") - F.col("lx1")).withColumn("lw", F.col("lx1") - F.col("lx0")).withColumn("rw", F.col("rx1") - F.col("box.x0"))
-    best = best.groupBy("page_id").agg(F.max_by(F.struct("gap", "lw", "rw"), F.struct("gap", -F.col("box.x0"))).alias("split"))
-    count = usable.groupBy("page_id").agg(F.count("*").alias("blocks"))
-    joined = pages
-    for part in (count, crossing, apart, best):
-        joined = joined.join(part, "page_id", "left")
-    ratio = F.col("split.gap") / F.col("width")
-    lesser, greater = F.least("split.lw", "split.rw"), F.greatest("split.lw", "split.rw")
-    reason = (
-        F.when(F.col("blocks").isNull(), "empty")
-        .when(F.coalesce("rotation", F.lit(0)) % 360 != 0, "rotated")
-        .when(F.col("crossings") > 0, "overlapping")
-        .when(F.col("apart") == 1, "bottom_text")
-        .when(F.col("split").isNull(), "one_column")
-        .when(ratio < column_gap, "weak_gap")
-        .when((lesser / greater < balance) & (lesser < narrow * F.col("width")), "sidebar")
-        .otherwise("columns")
-    )
-    layout = F.when(reason == "empty", "empty").when(reason == "one_column", "one_column").when(reason == "columns", "multi_column").otherwise("ambiguous")
-    sure = F.when(reason == "empty", 0.9).when(reason == "one_column", 0.9).when(reason == "columns", F.least(F.lit(0.95), 0.72 + ratio)).when(reason == "weak_gap", 0.25).otherwise(0.35)
-    return joined.select("page_id", layout.alias("layout"), reason.alias("reason"), F.round(sure, 6).alias("confidence"))
-
-
 @pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two texts (no built-in function gives it)."""

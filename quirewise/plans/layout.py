@@ -26,14 +26,6 @@ def nearest_line(spark, d):
     return pairs.groupBy("selection_result_id", "line").agg(F.min(F.struct("distance", "nearest")).alias("x")).select("selection_result_id", "line", "x.nearest", "x.distance")
 
 
-def scan_layout(spark, d):
-    """Layout of scanned pages from their line boxes, on a page of 1,400 by 2,000 pixels."""
-    once = table(spark, d, "ocr_results").dropDuplicates(["selection_result_id"])
-    pages = once.select(F.col("selection_result_id").alias("page_id"), F.lit(1400.0).alias("width"), F.lit(2000.0).alias("height"), F.lit(0).alias("rotation"))
-    blocks = V.ocr_lines(spark, d).select(F.col("selection_result_id").alias("page_id"), F.col("order").alias("block_id"), "box")
-    return L.page_layout(pages, blocks).groupBy("layout", "reason").agg(F.count("*").alias("pages"))
-
-
 def scan_reconciliation(spark, d):
     """Lines of a result against lines assembled from its tokens: matched by place and text."""
     from quirewise.operators.scans import assemble_lines
@@ -74,7 +66,7 @@ def caption_uniqueness(spark, d):
     return toc.groupBy("book", key.alias("key")).agg(F.min("title").alias("title"), F.count("*").alias("spellings"))
 
 
-QUERIES = {f.__name__: f for f in (token_groups, nearest_line, scan_layout, scan_reconciliation, token_grid, expected_measures, first_states, caption_uniqueness)}
+QUERIES = {f.__name__: f for f in (token_groups, nearest_line, scan_reconciliation, token_grid, expected_measures, first_states, caption_uniqueness)}
 
 SQL = {
     "token_groups": f"""WITH RECURSIVE {V.SQL_TOKENS}, n AS (SELECT selection_result_id AS k, selection_result_id || '#' || "order" AS id, box FROM tokens),
