@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quirewise.plans import corpus, equations, evidence, incremental, layout, pagelayout, transcript
+from quirewise.plans import contracts, corpus, equations, evidence, incremental, layout, pagelayout, records, transcript
 
-MODULES = [corpus, equations, evidence, incremental, layout, pagelayout, transcript]
+MODULES = [contracts, corpus, equations, evidence, incremental, layout, pagelayout, records, transcript]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}

@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from quirewise.operators import layout as L
+from quirewise.operators import pagelayout as P
 
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
 
@@ -20,8 +21,9 @@ FIXTURES = {
 def test_layout_of_fixtures(spark):
     pages = spark.createDataFrame([(k, w, h, 0) for k, (w, h, _) in FIXTURES.items()] + [("turned", 1.0, 1.0, 90)], "page_id string, width double, height double, rotation int")
     rows = [(k, i, tuple(map(float, b))) for k, (_, _, bs) in FIXTURES.items() for i, b in enumerate(bs)]
-    rows += [("turned", 0, (0.0, 0.0, 1.0, 1.0)), ("born-digital", 9, None)]
-    got = {r.page_id: (r.layout, r.confidence) for r in L.page_layout(pages, spark.createDataFrame(rows, f"page_id string, block_id long, box {BOX}")).collect()}
+    rows += [("turned", 0, (0.0, 0.0, 1.0, 1.0))]
+    kinds, _ = P.page_kinds(pages, spark.createDataFrame(rows, f"page_id string, id long, box {BOX}"))
+    got = {r.page_id: (r.kind, r.confidence) for r in kinds.collect()}
     assert {k: v[0] for k, v in got.items()} == {"born-digital": "one_column", "two-column": "multi_column", "footnote": "ambiguous", "sidebar": "ambiguous", "ambiguous-overlap": "ambiguous", "blank": "empty", "turned": "ambiguous"}
     assert got["footnote"][1] < 0.5 and got["sidebar"][1] < 0.5 and got["ambiguous-overlap"][1] == 0.25
 
