@@ -73,20 +73,6 @@ def union_boxes(spark, d):
     return x.select("page_id", "b.*")
 
 
-def nms_admission(spark, d):
-    """Detections derived from line items: an order is an image, the return flag a category."""
-    t = table(spark, d, "lineitem")
-    x0 = F.col("l_linenumber") * 7.0
-    score = 1 - F.col("l_discount") * 5
-    boxes = t.select(F.col("l_orderkey").alias("image"), F.col("l_returnflag").alias("category"), score.alias("score"), G.box(x0, x0, x0 + F.col("l_quantity"), x0 + F.col("l_quantity")).alias("box"))
-    return S.admit_boxes(boxes, ["image", "category"], "score", "box").groupBy("category").agg(F.count("*").alias("kept"))
-
-
-def detector_filter(spark, d):
-    status = F.when(~F.col("l_returnflag").isin("A", "N"), "unsupported_label").when(F.col("l_discount") > 0.05, "low_confidence").otherwise("accepted")
-    return table(spark, d, "lineitem").groupBy(status.alias("status")).agg(F.count("*").alias("rows"))
-
-
 def page_number_runs(spark, d):
     return T.number_runs(V.blocks(spark, d))
 
@@ -142,7 +128,7 @@ def event_sessions(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     geometry_classify, ocr_line_assembly, reading_order_inversions, block_region_overlap, horizontal_components, row_gap_groups, column_split, table_row_clusters, repeated_margin_keys, merged_stream, region_mapping, union_boxes,
-    nms_admission, detector_filter, page_number_runs, hyphen_decisions, toc_heading_matches, figure_captions, private_use_glyphs, journal_chain,
+    page_number_runs, hyphen_decisions, toc_heading_matches, figure_captions, private_use_glyphs, journal_chain,
     journal_publication, event_windows, event_sessions)}
 
 
@@ -186,6 +172,10 @@ SQL = {
     "column_split": f"""WITH {V.SQL_TOKENS}, p AS (SELECT selection_result_id, box.x0 AS x0, row_number() OVER w AS n, count(*) OVER (PARTITION BY selection_result_id) AS al,
       max(box.x1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM tokens WINDOW w AS (PARTITION BY selection_result_id ORDER BY box.x0, box.x1, "order"))
       SELECT selection_result_id, max(x0 - reach) AS gap FROM p WHERE n - 1 >= 0.25 * al AND al - n + 1 >= 0.25 * al AND x0 - reach >= 0 GROUP BY 1""",
+    "table_row_clusters": f"""WITH RECURSIVE {V.SQL_TOKENS}, v AS (SELECT selection_result_id AS k, (box.y0 + box.y1) / 2 AS y, row_number() OVER (PARTITION BY selection_result_id ORDER BY (box.y0 + box.y1) / 2, "order") AS n FROM tokens),
+      f AS (SELECT k, n, y::DOUBLE AS mean, 1::BIGINT AS size, 1::BIGINT AS rows FROM v WHERE n = 1 UNION ALL SELECT f.k, v.n, CASE WHEN abs(v.y - f.mean) > 18 THEN v.y ELSE (f.mean * f.size + v.y) / (f.size + 1) END,
+        CASE WHEN abs(v.y - f.mean) > 18 THEN 1 ELSE f.size + 1 END, CASE WHEN abs(v.y - f.mean) > 18 THEN f.rows + 1 ELSE f.rows END FROM f JOIN v ON v.k = f.k AND v.n = f.n + 1)
+      SELECT k AS selection_result_id, max(rows) AS rows FROM f GROUP BY k""",
     "repeated_margin_keys": f"""WITH {V.SQL_LINES}, {V.SQL_PAGES}, h AS (SELECT *, max(box.y1) OVER (PARTITION BY page_id) AS height FROM lines), b AS (SELECT DISTINCT page_id, book FROM pages),
       n AS (SELECT book, count(*) AS n FROM b WHERE page_id IN (SELECT page_id FROM lines) GROUP BY book),
       k AS (SELECT b.book, page_id, regexp_replace(lower({_clean("text")}), '[0-9]+', '#', 'g') AS key FROM h JOIN b USING (page_id) WHERE box.y1 <= 0.12 * height OR box.y0 >= (1 - 0.12) * height)
@@ -200,7 +190,6 @@ SQL = {
     "region_mapping": f"""WITH {V.SQL_LINES} SELECT selection_result_id, "order"::BIGINT AS "order", round(greatest(0.0, box.x0 * 72.0 / 144.0 - 6), 6) AS x0, round(greatest(0.0, box.y0 * 72.0 / 144.0 - 6), 6) AS y0,
       round(least(612.0, box.x1 * 72.0 / 144.0 + 6), 6) AS x1, round(least(792.0, box.y1 * 72.0 / 144.0 + 6), 6) AS y1 FROM lines""",
     "union_boxes": f"WITH {V.SQL_LINES} SELECT page_id, min(box.x0) AS x0, min(box.y0) AS y0, max(box.x1) AS x1, max(box.y1) AS y1 FROM lines GROUP BY page_id",
-    "detector_filter": "SELECT CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'unsupported_label' WHEN l_discount > 0.05 THEN 'low_confidence' ELSE 'accepted' END AS status, count(*) AS rows FROM lineitem GROUP BY 1",
     "page_number_runs": f"WITH {RUNS} SELECT * FROM runs",
     "hyphen_decisions": f"""WITH {V.SQL_PAGES}, hits AS (SELECT page_id, text, unnest(regexp_extract_all(text, '[A-Za-z]{{2,}}-[ \\t]*\\n\\s*[a-z][A-Za-z]*')) AS hit FROM pages),
       w AS (SELECT page_id, ' ' || regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}\\-]+', ' ', 'g') || ' ' AS words, lower(regexp_extract(hit, '^([A-Za-z]+)-', 1)) AS l, lower(regexp_extract(hit, '([a-z][A-Za-z]*)$', 1)) AS r FROM hits)
