@@ -18,6 +18,12 @@ def validation_summary(pages: DataFrame, low_text: int = 40) -> DataFrame:
     )
 
 
+def block_shift(df: DataFrame, column: str, most: int = 50_000) -> int:
+    """By how many bits a non-negative integer column is shifted so that it falls into at most `most` blocks, whatever its range."""
+    top = df.agg(F.max(column)).first()[0] or 0
+    return max(0, int(top // most).bit_length())
+
+
 def dense_order(df: DataFrame, bucket: Column, *order: Column, name: str = "position") -> DataFrame:
     """df with its 0-based place in the order of (bucket, order), which must be total.
 
@@ -38,20 +44,24 @@ def plan(documents: DataFrame, batch: int = 256) -> DataFrame:
     """
     digests = documents.where("text is not null").select("doc_id", F.sha2("text", 256).alias("content_sha256"))
     first = digests.groupBy("content_sha256").agg(F.min("doc_id").alias("doc_id"))
-    placed = dense_order(first, F.shiftright("doc_id", 12), F.col("doc_id"))
+    placed = dense_order(first, F.shiftright("doc_id", block_shift(documents, "doc_id")), F.col("doc_id"))
     return placed.select("doc_id", "content_sha256", F.floor(F.col("position") / batch).cast("bigint").alias("batch"))
 
 
-def inventory(collection: DataFrame, id_column: str, content: Column, prefix: int = 3) -> DataFrame:
+def inventory(collection: DataFrame, id_column: str, content: Column, prefix: int = 4) -> DataFrame:
     """One row: count, digest of the sorted ids, digest of the sorted (id, content digest) pairs.
 
-    Digests are taken of the sorted ids of each prefix of their hashes and then of those digests in order, so no task holds all ids.
+    Digests are taken of the sorted ids of each prefix of their hashes, then of those digests of each prefix but its last two digits, and of the latter in
+    order, so no task holds more than 1/16**prefix of the ids or 16**prefix / 256 digests. The prefix is part of the digest's definition: one for
+    collections that are compared, larger for larger ones.
     """
     rows = collection.select(F.col(id_column).cast("string").alias("id"), F.sha2(content, 256).alias("content"))
     rows = rows.withColumn("part", F.substring(F.sha2("id", 256), 1, prefix))
     joined = lambda x: F.sha2(F.array_join(F.array_sort(F.collect_list(x)), "\n"), 256)
     parts = rows.groupBy("part").agg(F.count("*").alias("n"), joined(F.col("id")).alias("ids"), joined(F.concat_ws("\t", "id", "content")).alias("pairs"))
     ordered = lambda c: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", c))), lambda x: x[c]), "\n"), 256)
+    upper = F.substring("part", 1, max(1, prefix - 2))
+    parts = parts.groupBy(upper.alias("upper")).agg(F.sum("n").alias("n"), ordered("ids").alias("ids"), ordered("pairs").alias("pairs")).withColumnRenamed("upper", "part")
     return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"), ordered("ids").alias("ids_sha256"), ordered("pairs").alias("content_sha256"))
 
 

@@ -17,11 +17,10 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirewise.storage import cut
+from quirewise.storage import commit_exclusively, cut
 
 #: A sequence is a signed 64-bit number; a dyadic block of level k holds 2**k of them.
 LEVELS = 62
@@ -195,26 +194,9 @@ class IncrementalFolder:
         return {k: manifest[k] for k in ("run", "above", "watermark")}
 
     def _commit(self, manifest: dict) -> None:
-        """The manifest, complete, under its final name, in one step that fails if the name is taken."""
-        written, final = self._path(f"{manifest['trial']}/manifest.json"), self._path(f"commit-{manifest['run']}.json")
-        out = self.fs.create(written, False)
-        try:
-            out.write(bytearray(json.dumps(manifest).encode()))
-        finally:
-            out.close()
-        jvm = self.spark._jvm
-        try:
-            if self.fs.getUri().getScheme() == "file":
-                # A rename in a local file system replaces what is there; a link doesn't.
-                at = lambda p: jvm.java.nio.file.Paths.get(p.toUri().getPath(), self.spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0))
-                jvm.java.nio.file.Files.createLink(at(final), at(written))
-            else:
-                none = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-                jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration()).rename(written, final, none)
-        except Py4JJavaError as e:
-            if self.fs.exists(final):
-                raise RuntimeError(f"another run has committed number {manifest['run']}; nothing of this one is visible") from e
-            raise
+        trial, number = manifest["trial"], manifest["run"]
+        if not commit_exclusively(self.spark, f"{self.folder}/{trial}/manifest.json", f"{self.folder}/commit-{number}.json", json.dumps(manifest)):
+            raise RuntimeError(f"another run has committed number {number}; nothing of this one is visible")
 
     def vacuum(self, older_than_seconds: float = 86_400.0) -> int:
         """Delete trial folders that no manifest names and that haven't changed for so long; how many there were."""

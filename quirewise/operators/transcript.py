@@ -11,22 +11,6 @@ from quirewise.functions.text import AUTHOR_LINE, BIBLIOGRAPHY_ENTRY, LINE_BREAK
 LEVELS = 12
 
 
-def number_runs(lines: DataFrame, least: int = 3) -> DataFrame:
-    """Page-number runs of a book: number lines whose page and value both rise by one, in runs of at least `least` pages.
-
-    lines: book, page_index, line. (book, first_index, last_index, first_value, pages); a value is kept apart by its distance to the page
-    index, so several runs may lie side by side.
-    """
-    numbered = lines.withColumn("value", page_number_value(F.col("line"))).where("value is not null and page_index is not null").select("book", "page_index", "value").distinct()
-    shift = F.col("value") - F.col("page_index")
-    w = Window.partitionBy("book", "shift").orderBy("page_index")
-    island = F.col("page_index") - F.row_number().over(w)
-    runs = numbered.withColumn("shift", shift).withColumn("island", island).groupBy("book", "shift", "island").agg(
-        F.min("page_index").cast("bigint").alias("first_index"), F.max("page_index").cast("bigint").alias("last_index"), F.min("value").alias("first_value"), F.count("*").alias("pages")
-    )
-    return runs.where(F.col("pages") >= least).select("book", "first_index", "last_index", "first_value", "pages")
-
-
 def headings(lines: DataFrame) -> DataFrame:
     """Heading lines: doc_id, ordinal, kind, level, label, title, evidence, confidence."""
     return lines.withColumn("h", heading(F.col("line"))).where("h is not null").select("doc_id", F.col("ordinal").cast("bigint").alias("ordinal"), "h.*")

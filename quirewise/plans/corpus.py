@@ -37,9 +37,10 @@ def block_text_compose(spark, d):
 
 
 def book_text_export(spark, d):
+    """The digest of a book's text export: of the digests of its pages' parts in order, so no task holds a book's text."""
     pages = V.pages(spark, d).where("text is not null")
-    part = F.concat(F.lit("[page "), F.col("page_index").cast("string"), F.lit("]\n"), F.col("text"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_index", "page_id", part.alias("part")))), lambda x: x["part"]), "\n\n")
+    part = F.sha2(F.concat(F.lit("[page "), F.col("page_index").cast("string"), F.lit("]\n"), F.col("text")), 256)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_index", "page_id", part.alias("part")))), lambda x: x["part"]), "\n")
     return pages.groupBy("book").agg(F.sha2(joined, 256).alias("text_sha256"), F.count("*").alias("pages"))
 
 
@@ -126,12 +127,6 @@ def work_deferral(spark, d):
     return rows.select(F.when(state == "pending", "not_requested").otherwise(state).alias("state")).groupBy("state").agg(F.count("*").alias("rows"))
 
 
-def media_types(spark, d):
-    head = F.substring(F.encode("text", "UTF-8"), 1, 5)
-    kind = F.when(F.hex(head).startswith("255044462D"), "application/pdf").when(F.col("text").startswith("{"), "application/json").otherwise("text/plain")
-    return table(spark, d, "documents").groupBy(kind.alias("media_type")).agg(F.count("*").alias("rows"))
-
-
 def artifact_paths(spark, d):
     path = F.concat_ws("/", "source", "kind", F.concat("doc_id", F.lit(".json")))
     return table(spark, d, "documents").select("doc_id", path.alias("path"), path_valid(path).alias("valid"))
@@ -168,7 +163,7 @@ def equation_context(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     corpus_validation_summary, corpus_plan_dedup, low_text_pages, stable_ids, page_quality, block_text_compose, book_text_export, collection_inventory, inventory_measures, provenance_findings,
-    page_windows, code_line_chunks, books_difference, page_coverage, replica_agreement, model_consensus, materialization_counts, overall_ocr_status, work_deferral, media_types, artifact_paths,
+    page_windows, code_line_chunks, books_difference, page_coverage, replica_agreement, model_consensus, materialization_counts, overall_ocr_status, work_deferral, artifact_paths,
     page_locator, equation_reasons, evidence_selection, equation_context)}
 
 EQ = "eq AS (SELECT DISTINCT ON (record_id) * FROM equation_index)"
@@ -183,11 +178,12 @@ SQL = {
     "page_quality": f"WITH {V.SQL_PAGES} SELECT page_id, round(least(1.0, length(coalesce(text, '')) / 1000.0), 6) AS quality FROM pages",
     "block_text_compose": f"""WITH {V.SQL_PAGES} SELECT page_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: rtrim(x, ' ')), lambda x: x <> ''), chr(10)) AS composed
       FROM pages WHERE text IS NOT NULL""",
-    "book_text_export": f"""WITH {V.SQL_PAGES} SELECT book, sha256(string_agg('[page ' || page_index || ']' || chr(10) || text, chr(10) || chr(10) ORDER BY page_index, page_id)) AS text_sha256, count(*) AS pages
+    "book_text_export": f"""WITH {V.SQL_PAGES} SELECT book, sha256(string_agg(sha256('[page ' || page_index || ']' || chr(10) || text), chr(10) ORDER BY page_index, page_id)) AS text_sha256, count(*) AS pages
       FROM pages WHERE text IS NOT NULL GROUP BY book""",
-    "collection_inventory": """WITH r AS (SELECT doc_id::VARCHAR AS id, sha256(coalesce(text, '')) AS content, substr(sha256(doc_id::VARCHAR), 1, 3) AS part FROM documents),
-      p AS (SELECT part, count(*) AS n, sha256(string_agg(id, chr(10) ORDER BY id)) AS ids, sha256(string_agg(id || chr(9) || content, chr(10) ORDER BY id || chr(9) || content)) AS pairs FROM r GROUP BY part)
-      SELECT sum(n)::BIGINT AS rows, sha256(string_agg(ids, chr(10) ORDER BY part)) AS ids_sha256, sha256(string_agg(pairs, chr(10) ORDER BY part)) AS content_sha256 FROM p""",
+    "collection_inventory": """WITH r AS (SELECT doc_id::VARCHAR AS id, sha256(coalesce(text, '')) AS content, substr(sha256(doc_id::VARCHAR), 1, 4) AS part FROM documents),
+      p AS (SELECT part, count(*) AS n, sha256(string_agg(id, chr(10) ORDER BY id)) AS ids, sha256(string_agg(id || chr(9) || content, chr(10) ORDER BY id || chr(9) || content)) AS pairs FROM r GROUP BY part),
+      q AS (SELECT part[1:2] AS part, sum(n) AS n, sha256(string_agg(ids, chr(10) ORDER BY part)) AS ids, sha256(string_agg(pairs, chr(10) ORDER BY part)) AS pairs FROM p GROUP BY part[1:2])
+      SELECT sum(n)::BIGINT AS rows, sha256(string_agg(ids, chr(10) ORDER BY part)) AS ids_sha256, sha256(string_agg(pairs, chr(10) ORDER BY part)) AS content_sha256 FROM q""",
     "inventory_measures": f"""WITH {V.SQL_PAGES} SELECT book, count(*) AS pages, count(*) FILTER (WHERE coalesce(text, '') <> '') AS pages_with_text, sum(length(coalesce(text, '')))::BIGINT AS chars,
       sum(octet_length(encode(coalesce(text, ''))))::BIGINT AS utf8_bytes, count(printed_page_label) AS labelled FROM pages GROUP BY book""",
     "provenance_findings": " UNION ALL ".join(
@@ -218,7 +214,6 @@ SQL = {
       FROM ocr JOIN (SELECT DISTINCT page_id, book FROM pages) USING (page_id) GROUP BY book""",
     "work_deferral": """SELECT CASE WHEN s = 'pending' THEN 'not_requested' ELSE s END AS state, count(*) AS rows
       FROM (SELECT sequence, lower(trim(min(equation_state), ' ')) AS s FROM chunks GROUP BY sequence) GROUP BY 1""",
-    "media_types": "SELECT CASE WHEN starts_with(text, '%PDF-') THEN 'application/pdf' WHEN starts_with(text, '{') THEN 'application/json' ELSE 'text/plain' END AS media_type, count(*) AS rows FROM documents GROUP BY 1",
     "artifact_paths": r"""SELECT doc_id, p AS path, NOT (regexp_matches(p, '^/|//|(^|/)\.{1,2}(/|$)|/$') OR contains(p, '\')) AND length(p) > 0 AS valid
       FROM (SELECT doc_id, concat_ws('/', source, kind, doc_id || '.json') AS p FROM documents)""",
     "page_locator": f"""WITH {V.SQL_PAGES}, t AS (SELECT DISTINCT entry_id, book, ' ' || trim(regexp_replace(lower(title), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') || ' ' AS k FROM toc_entries WHERE title IS NOT NULL),

@@ -9,6 +9,7 @@ from quirewise.functions.text import FIGURE_CAPTION
 from quirewise.operators import journal as J
 from quirewise.operators import scans as S
 from quirewise.operators import transcript as T
+from quirewise.operators.corpus import block_shift
 from quirewise.sources import views as V
 from quirewise.storage import table
 from quirewise.streaming import events as E
@@ -73,10 +74,6 @@ def union_boxes(spark, d):
     return x.select("page_id", "b.*")
 
 
-def page_number_runs(spark, d):
-    return T.number_runs(V.blocks(spark, d))
-
-
 def hyphen_decisions(spark, d):
     return T.hyphen_decisions(V.pages(spark, d).select(F.col("page_id").alias("doc_id"), "text"))
 
@@ -107,7 +104,7 @@ def _journal(spark, d):
 
 
 def journal_chain(spark, d):
-    return J.chain_breaks(_journal(spark, d), F.shiftright("sequence", 14))
+    return J.chain_breaks(_journal(spark, d), F.shiftright("sequence", block_shift(table(spark, d, "orders"), "o_orderkey")))
 
 
 def journal_publication(spark, d):
@@ -128,7 +125,7 @@ def event_sessions(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     geometry_classify, ocr_line_assembly, reading_order_inversions, block_region_overlap, horizontal_components, row_gap_groups, column_split, table_row_clusters, repeated_margin_keys, merged_stream, region_mapping, union_boxes,
-    page_number_runs, hyphen_decisions, toc_heading_matches, figure_captions, private_use_glyphs, journal_chain,
+    hyphen_decisions, toc_heading_matches, figure_captions, private_use_glyphs, journal_chain,
     journal_publication, event_windows, event_sessions)}
 
 
@@ -144,10 +141,6 @@ def _value(x: str) -> str:
       list_sum(list_transform(list_zip({values}, {values}[2:]), lambda p: CASE WHEN p[1] < coalesce(p[2], 0) THEN -p[1] ELSE p[1] END))::BIGINT END"""
 
 
-RUNS = f"""{V.SQL_BLOCKS}, numbered AS (SELECT DISTINCT book, page_index, value FROM (SELECT book, page_index, {_value("line")} AS value FROM blocks) WHERE value IS NOT NULL AND page_index IS NOT NULL),
-   runs AS (SELECT book, min(page_index)::BIGINT AS first_index, max(page_index)::BIGINT AS last_index, min(value) AS first_value, count(*) AS pages FROM
-   (SELECT *, value - page_index AS shift, page_index - row_number() OVER (PARTITION BY book, value - page_index ORDER BY page_index) AS island FROM numbered) GROUP BY book, shift, island HAVING count(*) >= 3)"""
-
 SQL = {
     "geometry_classify": f"""WITH {V.SQL_LINES}, m AS (SELECT box.x0 - CASE WHEN "order" % 11 = 0 THEN 5000 ELSE 0 END AS x0, CASE WHEN "order" % 7 = 0 THEN box.y1 ELSE box.y0 END AS y0, box.x1 AS x1,
       CASE WHEN "order" % 7 = 0 THEN box.y0 ELSE box.y1 END AS y1 FROM lines)
@@ -190,7 +183,6 @@ SQL = {
     "region_mapping": f"""WITH {V.SQL_LINES} SELECT selection_result_id, "order"::BIGINT AS "order", round(greatest(0.0, box.x0 * 72.0 / 144.0 - 6), 6) AS x0, round(greatest(0.0, box.y0 * 72.0 / 144.0 - 6), 6) AS y0,
       round(least(612.0, box.x1 * 72.0 / 144.0 + 6), 6) AS x1, round(least(792.0, box.y1 * 72.0 / 144.0 + 6), 6) AS y1 FROM lines""",
     "union_boxes": f"WITH {V.SQL_LINES} SELECT page_id, min(box.x0) AS x0, min(box.y0) AS y0, max(box.x1) AS x1, max(box.y1) AS y1 FROM lines GROUP BY page_id",
-    "page_number_runs": f"WITH {RUNS} SELECT * FROM runs",
     "hyphen_decisions": f"""WITH {V.SQL_PAGES}, hits AS (SELECT page_id, text, unnest(regexp_extract_all(text, '[A-Za-z]{{2,}}-[ \\t]*\\n\\s*[a-z][A-Za-z]*')) AS hit FROM pages),
       w AS (SELECT page_id, ' ' || regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}\\-]+', ' ', 'g') || ' ' AS words, lower(regexp_extract(hit, '^([A-Za-z]+)-', 1)) AS l, lower(regexp_extract(hit, '([a-z][A-Za-z]*)$', 1)) AS r FROM hits)
       SELECT page_id AS doc_id, l AS "left", r AS "right", CASE WHEN contains(words, ' ' || l || r || ' ') AND NOT contains(words, ' ' || l || '-' || r || ' ') THEN 'join'

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirewise.storage import commit_exclusively, hadoop_path
+
 # The twelve columns of an OCR table, and the fields of a batch plan.
 OCR_COLUMNS = "level int, page_num int, block_num int, par_num int, line_num int, word_num int, left int, top int, width int, height int, conf double, text string"
 PLAN = "schema_version int, items array<struct<source_id:string,pdf_path:string,output_directory:string,sha256:string,byte_size:bigint,locator:string>>"
@@ -50,13 +55,32 @@ def batch_plan(spark: SparkSession, path: str, most: int = 256) -> DataFrame:
 
 
 def publish_once(df: DataFrame, path: str) -> str:
-    """Write artifacts unless they are there: `created`, or `unchanged` if the same rows are there; other rows raise an error."""
-    spark = df.sparkSession
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
-        df.write.mode("errorifexists").parquet(path)
-        return "created"
-    old = spark.read.parquet(path).select(*df.columns)
+    """Publish artifacts unless they are there: `created`, or `unchanged` if the same rows are; other rows raise an error.
+
+    The rows are written to a folder of their own below path, then `current.json` names it in one exclusive step: a crash leaves nothing that a
+    reader or the next call sees, and of two publishers that race the second compares itself with the first.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    current, fs = hadoop_path(spark, f"{path}/current.json")
+    if not fs.exists(current):
+        part = f"data-{uuid.uuid4().hex}"
+        df.write.parquet(f"{path}/{part}")
+        if commit_exclusively(spark, f"{path}/{part}/manifest.json", f"{path}/current.json", json.dumps({"data": part})):
+            return "created"
+        fs.delete(hadoop_path(spark, f"{path}/{part}")[0], True)
+    old = published(spark, path).select(*df.columns)
     if df.exceptAll(old).limit(1).count() or old.exceptAll(df).limit(1).count():
         raise ValueError(f"{path} holds other rows")
     return "unchanged"
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that `publish_once` has published at path."""
+    named = json.loads(spark.read.text(f"{path.rstrip('/')}/current.json").first().value)
+    return spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{path.rstrip('/')}/{named['data']}")
+
+
+def schema_problems(df: DataFrame, expected: dict[str, str]) -> list[str]:
+    """What a table lacks to be ready: columns that are missing or of another type. Looks at metadata only."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return sorted([f"missing {c}" for c in expected if c not in have] + [f"type of {c}: {have[c]}" for c, t in expected.items() if c in have and have[c] != t])

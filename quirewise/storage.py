@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
@@ -24,7 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN[context.applicationId]
 
 
-def _hadoop(spark: SparkSession, folder: str):
+def hadoop_path(spark: SparkSession, folder: str):
+    """A path and its file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -39,7 +41,7 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     The tables of an application are deleted when its JVM ends, or before by `drop_cuts`.
     """
     spark, folder = df.sparkSession, _cuts(df.sparkSession)
-    path, fs = _hadoop(spark, folder)
+    path, fs = hadoop_path(spark, folder)
     if not fs.exists(path):
         fs.mkdirs(path)
         fs.deleteOnExit(path)
@@ -50,9 +52,34 @@ def cut(df: DataFrame, label: str) -> DataFrame:
 
 def drop_cuts(spark: SparkSession) -> None:
     """Delete all tables cut by this application: between queries whose results have been taken."""
-    path, fs = _hadoop(spark, _cuts(spark))
+    path, fs = hadoop_path(spark, _cuts(spark))
     fs.delete(path, True)
 
 
+def commit_exclusively(spark: SparkSession, written: str, final: str, text: str) -> bool:
+    """Write `text` to one path, complete, and give it the final one in one step that fails if that is taken: whether this call took it."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    source, fs = hadoop_path(spark, written)
+    target, _ = hadoop_path(spark, final)
+    out = fs.create(source, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            # A rename in a local file system replaces what is there; a link doesn't.
+            at = lambda p: jvm.java.nio.file.Paths.get(p.toUri().getPath(), gateway.new_array(jvm.java.lang.String, 0))
+            jvm.java.nio.file.Files.createLink(at(target), at(source))
+        else:
+            none = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(source, target, none)
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirewise.operators.journal import publish
+from quirewise.storage import cut
+
+#: Requests of a micro-batch up to which they are named in the journal's filter.
+FEW = 1_000
 
 
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
@@ -33,8 +37,17 @@ def append_journal(spark: SparkSession, source: str, schema: str, target: str, c
         path = spark._jvm.org.apache.hadoop.fs.Path(target)
         there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
         once = batch.groupBy("request_id").agg(F.min("payload_sha256").alias("payload_sha256"))
-        journal = spark.read.schema(f"{schema}, batch long").parquet(target).where(F.col("batch") != number).select(*once.columns) if there else once.limit(0)
-        judged = publish(journal, once)
-        judged.where("disposition = 'new'").select("request_id", "payload_sha256").write.mode("overwrite").parquet(f"{target}/batch={number}")
+        once = cut(once, "requests")
+        low, high, n = once.agg(F.min("request_id"), F.max("request_id"), F.count("*")).first()
+        if there and n:
+            # Files and row groups without these requests are passed over, by range and, for few requests, by their Bloom filters.
+            near = F.col("request_id").between(low, high)
+            if n <= FEW:
+                near = near & F.col("request_id").isin([r.request_id for r in once.select("request_id").collect()])
+            journal = spark.read.schema(f"{schema}, batch long").parquet(target).where(F.col("batch") != number).where(near).select(*once.columns)
+        else:
+            journal = once.limit(0)
+        new = publish(journal, once).where("disposition = 'new'").select("request_id", "payload_sha256").sortWithinPartitions("request_id")
+        new.write.mode("overwrite").option("parquet.bloom.filter.enabled#request_id", "true").parquet(f"{target}/batch={number}")
 
     return spark.readStream.schema(schema).json(source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

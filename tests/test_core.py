@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quirewise.functions import geometry as G
 from quirewise.functions import text as X
-from quirewise.operators import corpus, journal, scans, transcript
+from quirewise.operators import corpus, equations, journal, scans, transcript
 from quirewise.operators.incremental import IncrementalFolder, latest_covering_start, normal_state, pending_keys
 from quirewise.sources import readers
 from quirewise.streaming import events
@@ -167,7 +167,7 @@ def test_text_functions(spark):
     for text, value in (("xiv", 14), (" 12 ", 12), ("MCMXC", 1990), ("x2", None), ("", None)):
         assert row(X.page_number_value(F.lit(text))) == value
     assert row(X.basic_clean(F.lit("a­\x07 b   c"))) == "a b c"
-    assert row(X.latex_wellformed(F.lit(r"\left( {a} \right)"))) and not row(X.latex_wellformed(F.lit("}{")))
+    assert row(equations.latex_wellformed(F.lit(r"\left( {a} \right)"))) and not row(equations.latex_wellformed(F.lit("}{"))) and not row(equations.latex_wellformed(F.lit(r"\begin{a}")))
     assert row(X.contains_phrase(F.lit("The Big, bad wolf"), F.lit("big bad"))) and not row(X.contains_phrase(F.lit("x"), F.lit("")))
     assert row(X.path_valid(F.lit("a/b.json"))) and not row(X.path_valid(F.lit("a/../b")))
 
