@@ -11,7 +11,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from quirewise.functions import geometry as G
-from quirewise.functions.text import basic_clean
+from quirewise.functions.contract import matched_form
 from quirewise.storage import cut
 
 
@@ -28,7 +28,7 @@ def reconcile(native: DataFrame, ocr: DataFrame, overlap: float = 0.5, alike: fl
     within `unclear` of its score, on either side, is ambiguous and takes no part. The rest are taken greedily by falling score. Lines
     left over are native_only or ocr_only; equal normalized texts are duplicates, others disagreements.
     """
-    key = F.lower(basic_clean(F.col("text")))
+    key = matched_form(F.col("text"))
     side = lambda df, n: df.select("page_id", F.col("line_id").alias(f"{n}_id"), key.alias(f"{n}_key"), F.col("box").alias(f"{n}_box"))
     a, b = side(native, "native"), side(ocr, "ocr")
     near = a.join(b, "page_id").where(G.overlap(F.col("native_box"), F.col("ocr_box")) >= overlap)

@@ -8,20 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirewise.functions import geometry as G
+from quirewise.operators.scans import bounded
 from quirewise.storage import cut
 
-#: Blocks a page may have; more raise an error before any pair is made.
-MOST_BLOCKS = 512
 GAP, SUPPORT, FLOW, WIDE, BOTTOM, BOTTOM_GAP, NARROW, BALANCE = 0.04, 0.25, 0.1, 0.5, 0.78, 0.025, 0.28, 0.62
 
 
-def bounded(items: DataFrame, by: Sequence[str], most: int = MOST_BLOCKS) -> DataFrame:
-    """items, or an error if a page has more than `most` of them."""
-    n = F.count("*").over(Window.partitionBy(*by))
-    checked = F.when(n > most, F.raise_error(F.lit("more blocks on a page than the limit")).cast("boolean")).otherwise(F.lit(True))
-    return items.withColumn("_fits", checked).where("_fits").drop("_fits")
-
-
 def overlapping(items: DataFrame, by: Sequence[str]) -> DataFrame:
     """Pairs (a, b, a < b) of items (id, box) of one page whose boxes share an area, with that area."""
     a, b = items.select(*by, F.col("id").alias("a"), F.col("box").alias("p")), items.select(*by, F.col("id").alias("b"), F.col("box").alias("q"))

@@ -6,7 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirewise.functions import geometry as G
-from quirewise.functions.text import basic_clean, margin_key
+from quirewise.functions.contract import matched_form
+from quirewise.functions.text import margin_key
+
+
+#: Items a page or result may have where its pairs are made; more raise an error before any is.
+MOST_ITEMS = 512
+
+
+def bounded(items: DataFrame, by, most: int = MOST_ITEMS) -> DataFrame:
+    """items, or an error if a page has more than `most` of them."""
+    n = F.count("*").over(Window.partitionBy(*by))
+    checked = F.when(n > most, F.raise_error(F.lit("more items on a page than the limit")).cast("boolean")).otherwise(F.lit(True))
+    return items.withColumn("_fits", checked).where("_fits").drop("_fits")
 
 
 def assemble_lines(tokens: DataFrame) -> DataFrame:
@@ -18,6 +30,7 @@ def assemble_lines(tokens: DataFrame) -> DataFrame:
 
 def inversions(lines: DataFrame) -> DataFrame:
     """By result: pairs of lines whose given order is against top-then-left order."""
+    lines = bounded(lines, ["selection_result_id"])
     a, b = lines.select("selection_result_id", F.col("order").alias("oa"), F.col("box").alias("ba")), lines.select("selection_result_id", F.col("order").alias("ob"), F.col("box").alias("bb"))
     against = (F.col("ba.y0") > F.col("bb.y0")) | ((F.col("ba.y0") == F.col("bb.y0")) & (F.col("ba.x0") > F.col("bb.x0")))
     return a.join(b, "selection_result_id").where(F.col("oa") < F.col("ob")).groupBy("selection_result_id").agg(F.count("*").alias("pairs"), F.sum(against.cast("bigint")).alias("inversions"))
@@ -26,6 +39,7 @@ def inversions(lines: DataFrame) -> DataFrame:
 def region_overlaps(blocks: DataFrame, regions: DataFrame, least: float = 0.5) -> DataFrame:
     """Blocks against regions of one result: by block the regions it lies in by at least `least` of its area, and its greatest share."""
     share = F.round(G.intersection(F.col("a"), F.col("b")) / G.area(F.col("a")), 12)
+    blocks = bounded(blocks, ["selection_result_id"])
     pairs = blocks.select("selection_result_id", "order", F.col("box").alias("a")).join(regions.select("selection_result_id", F.col("box").alias("b")), "selection_result_id").withColumn("share", share)
     return pairs.groupBy("selection_result_id", "order").agg(F.sum((F.col("share") >= least).cast("bigint")).alias("regions"), F.max("share").alias("share"))
 
@@ -85,7 +99,7 @@ def merged_stream(native: DataFrame, ocr: DataFrame) -> DataFrame:
     native: page_id, ordinal, line; ocr: page_id, order, text. The k-th line of a text on a page matches the k-th OCR line of it,
     so matches are one to one. kind: duplicate, native_only, ocr_only; position counts from 0 on the page.
     """
-    same = lambda c: F.lower(basic_clean(F.col(c)))
+    same = lambda c: matched_form(F.col(c))
     nth = lambda o: F.row_number().over(Window.partitionBy("page_id", "key").orderBy(o))
     left = native.withColumn("key", same("line")).where("key <> ''").withColumn("k", nth("ordinal")).select("page_id", "key", "k", "ordinal")
     right = ocr.withColumn("key", same("text")).where("key <> ''").withColumn("k", nth("order")).select("page_id", "key", "k", "order")

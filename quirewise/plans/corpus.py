@@ -64,8 +64,8 @@ def provenance_findings(spark, d):
         [
             ("toc.unknown_book", t("toc_entries").distinct(), books, "book"),
             ("chunk.unknown_book", t("chunks").select("sequence", "book").distinct(), books, "book"),
-            ("equation.unknown_book", t("equation_index").dropDuplicates(["record_id"]), books, "book"),
-            ("ocr.unknown_page", t("ocr_results").dropDuplicates(["selection_result_id"]), t("pdf").select("page_id"), "page_id"),
+            ("equation.unknown_book", V.once(t("equation_index"), "record_id"), books, "book"),
+            ("ocr.unknown_page", V.once(t("ocr_results"), "selection_result_id"), t("pdf").select("page_id"), "page_id"),
             ("label.unknown_document", t("toxicity_labels").distinct(), t("documents"), "doc_id"),
             ("order.unknown_customer", t("orders").withColumnRenamed("o_custkey", "key"), t("customer").withColumnRenamed("c_custkey", "key"), "key"),
         ]
@@ -116,7 +116,7 @@ def materialization_counts(spark, d):
 
 
 def overall_ocr_status(spark, d):
-    once = table(spark, d, "ocr_results").dropDuplicates(["selection_result_id"]).join(V.pages(spark, d).select("page_id", "book").distinct(), "page_id")
+    once = V.once(table(spark, d, "ocr_results"), "selection_result_id").join(V.pages(spark, d).select("page_id", "book").distinct(), "page_id")
     status = F.when(F.bool_and(F.col("status") == "completed"), "completed").when(F.bool_and(F.col("status") == "failed"), "failed").otherwise("partial")
     return once.groupBy("book").agg(status.alias("status"), F.count("*").alias("results"))
 
@@ -140,13 +140,13 @@ def page_locator(spark, d):
 
 
 def equation_reasons(spark, d):
-    once = table(spark, d, "equation_index").dropDuplicates(["record_id"])
+    once = V.once(table(spark, d, "equation_index"), "record_id")
     return once.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("rows"))
 
 
 def evidence_selection(spark, d):
     """Equations with a recognition, in pages that have text: selected; others by what they lack."""
-    once = table(spark, d, "equation_index").dropDuplicates(["record_id"])
+    once = V.once(table(spark, d, "equation_index"), "record_id")
     pages = V.pages(spark, d).where(F.trim("text") != "").select("book", "page_index").distinct().withColumn("there", F.lit(True))
     status = F.when(F.col("there").isNull(), "missing_page").when(F.col("latex_proposal").isNull(), "missing_recognition").when(F.arrays_overlap("reasons", F.array(F.lit("recognition_missing"))), "warning_inspection").otherwise("available")
     return once.join(pages, ["book", "page_index"], "left").select("record_id", status.alias("outcome"))
@@ -156,7 +156,7 @@ def equation_context(spark, d):
     """The equation before and after on the same page, by position."""
     from pyspark.sql import Window
 
-    once = table(spark, d, "equation_index").dropDuplicates(["record_id"])
+    once = V.once(table(spark, d, "equation_index"), "record_id")
     w = Window.partitionBy("book", "page_index").orderBy("source_bounding_box.y0", "source_bounding_box.x0", "record_id")
     return once.select("record_id", F.lag("record_id").over(w).alias("before"), F.lead("record_id").over(w).alias("after"))
 

@@ -112,7 +112,7 @@ def journal_publication(spark, d):
     orders = table(spark, d, "orders")
     journal = orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("request_id"), F.when(F.col("o_orderkey") % 10 == 0, "other").otherwise(F.col("o_orderstatus")).alias("payload_sha256"))
     requests = orders.select(F.col("o_orderkey").alias("request_id"), F.col("o_orderstatus").alias("payload_sha256"))
-    return J.publish(journal, requests).groupBy("disposition").agg(F.count("*").alias("rows"))
+    return J.publish(journal, requests)
 
 
 def event_windows(spark, d):
@@ -133,6 +133,12 @@ def _clean(x: str) -> str:
     return rf"trim(regexp_replace(replace(regexp_replace({x}, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', ' ', 'g'), chr(173), ''), '[\s\x{{a0}}\x{{2000}}-\x{{200a}}\x{{202f}}\x{{3000}}]+', ' ', 'g'), ' ')"
 
 
+def _matched(x: str) -> str:
+    from quirewise.plans.contracts import _collapsed, _compatible
+
+    return _collapsed(f"replace(lower({_compatible(x)}), 'ß', 'ss')")
+
+
 def _value(x: str) -> str:
     c = f"lower({_clean(x)})"
     digit = "(CASE c WHEN 'i' THEN 1 WHEN 'v' THEN 5 WHEN 'x' THEN 10 WHEN 'l' THEN 50 WHEN 'c' THEN 100 WHEN 'd' THEN 500 WHEN 'm' THEN 1000 END)"
@@ -173,8 +179,8 @@ SQL = {
       n AS (SELECT book, count(*) AS n FROM b WHERE page_id IN (SELECT page_id FROM lines) GROUP BY book),
       k AS (SELECT b.book, page_id, regexp_replace(lower({_clean("text")}), '[0-9]+', '#', 'g') AS key FROM h JOIN b USING (page_id) WHERE box.y1 <= 0.12 * height OR box.y0 >= (1 - 0.12) * height)
       SELECT book, key, count(DISTINCT page_id) AS pages FROM k JOIN n USING (book) WHERE key <> '' GROUP BY book, key HAVING count(DISTINCT page_id) >= greatest(3, ceil(any_value(n.n) * 0.2))""",
-    "merged_stream": f"""WITH {V.SQL_LINES}, {V.SQL_PAGES}, nat AS (SELECT page_id, ordinal, lower({_clean("line")}) AS key FROM (SELECT page_id, unnest(string_split(text, chr(10))) AS line,
-      generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ordinal FROM pages WHERE extraction_method = 'ocr')), o AS (SELECT page_id, ord, lower({_clean("text")}) AS key FROM (SELECT page_id, "order" AS ord, min(text) AS text FROM lines GROUP BY 1, 2)),
+    "merged_stream": f"""WITH {V.SQL_LINES}, {V.SQL_PAGES}, nat AS (SELECT page_id, ordinal, {_matched("line")} AS key FROM (SELECT page_id, unnest(string_split(text, chr(10))) AS line,
+      generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ordinal FROM pages WHERE extraction_method = 'ocr')), o AS (SELECT page_id, ord, {_matched("text")} AS key FROM (SELECT page_id, "order" AS ord, min(text) AS text FROM lines GROUP BY 1, 2)),
       l AS (SELECT *, row_number() OVER (PARTITION BY page_id, key ORDER BY ordinal) AS k FROM nat WHERE key <> ''), r AS (SELECT *, row_number() OVER (PARTITION BY page_id, key ORDER BY ord) AS k FROM o WHERE key <> ''),
       m AS (SELECT coalesce(l.page_id, r.page_id) AS page_id, CASE WHEN r.ord IS NULL THEN 'native_only' WHEN l.ordinal IS NULL THEN 'ocr_only' ELSE 'duplicate' END AS kind, ordinal, ord
       FROM l FULL JOIN r ON l.page_id = r.page_id AND l.key = r.key AND l.k = r.k),
@@ -199,7 +205,7 @@ SQL = {
       c AS (SELECT *, lag(sha) OVER (ORDER BY sequence) AS last_sha, lag(sequence) OVER (ORDER BY sequence) AS last_at FROM j)
       SELECT sequence, reason FROM (SELECT sequence, CASE WHEN last_at IS NULL AND prev IS NOT NULL THEN 'first_with_previous' WHEN last_at IS NOT NULL AND sequence <> last_at + 1 THEN 'sequence_gap'
       WHEN prev IS DISTINCT FROM last_sha THEN 'digest_mismatch' END AS reason FROM c) WHERE reason IS NOT NULL""",
-    "journal_publication": """SELECT CASE WHEN o_orderkey % 2 <> 0 THEN 'new' WHEN o_orderkey % 10 = 0 AND o_orderstatus <> 'other' THEN 'conflict' ELSE 'replay' END AS disposition, count(*) AS rows FROM orders GROUP BY 1""",
+    "journal_publication": """SELECT o_orderkey AS request_id, o_orderstatus AS payload_sha256, CASE WHEN o_orderkey % 2 <> 0 THEN 'new' WHEN o_orderkey % 10 = 0 AND o_orderstatus <> 'other' THEN 'conflict' ELSE 'replay' END AS disposition FROM orders""",
     "event_windows": "SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "event_sessions": """WITH o AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 minutes THEN 0 ELSE 1 END AS opens FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
       s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM o) SELECT user_id, min(ts) AS session_start, count(*) AS n FROM s GROUP BY user_id, k""",

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quirewise.operators import layout as L
+from quirewise.operators.scans import bounded
 from quirewise.sources import views as V
 from quirewise.storage import table
 
@@ -20,6 +21,7 @@ def token_groups(spark, d):
 def nearest_line(spark, d):
     """For each scanned line the one of its page with the least vertical distance; ties go by order."""
     lines = V.ocr_lines(spark, d).select("selection_result_id", F.col("order").cast("bigint").alias("line"), "box")
+    lines = bounded(lines, ["selection_result_id"])
     other = lines.select("selection_result_id", F.col("line").alias("nearest"), F.col("box").alias("o"))
     distance = F.greatest(F.lit(0.0), F.col("o.y0") - F.col("box.y1"), F.col("box.y0") - F.col("o.y1"))
     pairs = lines.join(other, "selection_result_id").where("line <> nearest").withColumn("distance", distance)
@@ -32,7 +34,8 @@ def scan_reconciliation(spark, d):
 
     lines = V.ocr_lines(spark, d).select(F.col("selection_result_id").alias("page_id"), F.col("order").alias("line_id"), "text", "box")
     made = assemble_lines(V.ocr_tokens(spark, d)).select(F.col("selection_result_id").alias("page_id"), F.col("line_order").alias("line_id"), "text", "box")
-    return L.reconcile(lines, made).groupBy("kind").agg(F.count("*").alias("lines"))
+    x = L.reconcile(lines, made)
+    return x.select("page_id", F.col("native_id").cast("bigint").alias("native_id"), F.col("ocr_id").cast("bigint").alias("ocr_id"), "kind", "score")
 
 
 def token_grid(spark, d):
