@@ -185,3 +185,40 @@ def order_agreement(orders: DataFrame, candidate: DataFrame) -> DataFrame:
     y = each.groupBy("page").agg(F.count("*").alias("replicas"), F.countDistinct("claim").alias("claims"), F.min("n").alias("least")).join(size, "page").join(pairs, "page", "left").join(against, "page", "left").fillna(0, ["disagreements", "contradictions"])
     agreement = F.when(F.col("replicas") < 2, "not_evaluable").when(F.col("disagreements") > 0, "disagreement").when((F.col("claims") == 1) & (F.col("least") == F.col("size")), "exact_agreement").otherwise("consistent_partial")
     return y.select("page", "replicas", "contradictions", "disagreements", F.when(F.col("least") == F.col("size"), "complete").otherwise("partial").alias("coverage"), agreement.alias("agreement"))
+
+
+def reading_order(regions: DataFrame, by: Sequence[str], right_to_left: bool = False) -> DataFrame:
+    """(by, id, part, position, reasons) of regions (by, id, kind, box): headers, titles above and across everything below them, columns, footers, each
+    part in the order of `column_order`. Any reason on a page escalates it: no region of it has a position.
+
+    Reasons: overlapping_regions, header_position_conflict (a header reaches below another region's top), footer_position_conflict,
+    unsupported_region_kind (sidebar, other), caption_association_required, footnote_association_required, and those of column_order.
+    """
+    by = list(by)
+    x = bounded(regions.select(*by, "id", "kind", "box"), by)
+    overlaps = overlapping(x, by).select(*by).distinct().withColumn("overlaps", F.lit(True))
+    of = lambda kind, f, c: f(F.when(F.col("kind") == kind, F.col(c)))
+    no = lambda kind, f, c: f(F.when(F.col("kind") != kind, F.col(c)))
+    has = lambda *kinds: F.max(F.col("kind").isin(*kinds).cast("int")) == 1
+    page = x.groupBy(*by).agg(
+        (of("header", F.max, "box.y1") > no("header", F.min, "box.y0")).alias("h"), (of("footer", F.min, "box.y0") < no("footer", F.max, "box.y1")).alias("f"),
+        has("sidebar", "other").alias("u"), has("caption").alias("c"), has("footnote").alias("n"),
+    ).join(overlaps, by, "left")
+    # A title leads if it lies above and across all regions of the body that come after it, and all before it do.
+    body = Window.partitionBy(*by).orderBy("box.y0", "box.x0", "id")
+    after = body.rowsBetween(1, Window.unboundedFollowing)
+    inner = x.where(~F.col("kind").isin("header", "footer"))
+    leads = (F.col("kind") == "title") & (F.col("box.y1") <= F.min("box.y0").over(after)) & (F.col("box.x0") <= F.min("box.x0").over(after)) & (F.col("box.x1") >= F.max("box.x1").over(after))
+    inner = inner.withColumn("leads", F.coalesce(leads, F.lit(False)).cast("int"))
+    inner = inner.withColumn("part", F.when(F.min("leads").over(body.rowsBetween(Window.unboundedPreceding, 0)) == 1, "leading_title").otherwise("body"))
+    outer = x.where(F.col("kind").isin("header", "footer")).withColumn("part", F.col("kind"))
+    parts = cut(inner.drop("leads").unionByName(outer), "parts")
+    ordered = column_order(parts, [*by, "part"], right_to_left)
+    level = F.element_at(F.create_map(*[F.lit(v) for k, v in (("header", 0), ("leading_title", 1), ("body", 2), ("footer", 3)) for v in (k, v)]), F.col("part"))
+    failed = ordered.where("reason is not null").groupBy(*by).agg(F.min_by("reason", level).alias("failed"))
+    page = page.join(failed, by, "left")
+    named = (("h", "header_position_conflict"), ("f", "footer_position_conflict"), ("u", "unsupported_region_kind"), ("c", "caption_association_required"), ("n", "footnote_association_required"), ("overlaps", "overlapping_regions"))
+    reasons = F.array_sort(F.filter(F.array(*[F.when(F.col(k), F.lit(v)) for k, v in named], F.col("failed")), lambda v: v.isNotNull()))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(level, "position", "id")) - 1
+    y = ordered.join(page.select(*by, reasons.alias("reasons")), by)
+    return y.select(*by, "id", "part", F.when(F.size("reasons") == 0, place.cast("bigint")).alias("position"), "reasons")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirewise.functions.text import AUTHOR_LINE, BIBLIOGRAPHY_ENTRY, LINE_BREAK_HYPHEN, NUMERIC, basic_clean, folded, front_kind, heading, margin_key, page_number_value, publisher_kind
+from quirewise.storage import cut
 
 #: Deepest level of a heading that counts as a level of its own; deeper ones count as this one.
 LEVELS = 12
@@ -170,6 +171,7 @@ def margin_keys(blocks: DataFrame, least: int = 3, share: float = 0.2) -> DataFr
 def clean_blocks(blocks: DataFrame) -> DataFrame:
     """blocks (see `page_number_classes`) with what becomes of each: excluded as page_number, publisher_front_matter, repeated_margin or
     empty_after_sanitization, the first that fits, or kept (null) with its clean text and its place in the document, counted from 0."""
+    blocks = cut(blocks, "blocks")  # read by every test
     numbers = page_number_classes(blocks).where("outcome = 'page_number'").select("page_id", "ordinal", F.lit(True).alias("is_number"))
     keys = margin_keys(blocks).withColumn("is_margin", F.lit(True))
     publisher = publisher_kind(F.col("text"), F.col("page_index") == 0, F.lit(False)).isNotNull()

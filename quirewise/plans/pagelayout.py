@@ -56,6 +56,13 @@ def region_order_right_to_left(spark, d):
     return P.column_order(_items(spark, d), PAGE, right_to_left=True)
 
 
+def reading_order(spark, d):
+    """Equations as regions: at the top headers, at the bottom footers, wide ones between titles, some with a kind that has no place."""
+    b = F.col("box")
+    kind = F.when(b["y1"] <= 230, "header").when(b["y0"] >= 620, "footer").when(F.col("id").rlike("0$"), "other").when(b["x1"] - b["x0"] >= 220, "title").otherwise("text")
+    return P.reading_order(_items(spark, d).withColumn("kind", kind), PAGE).withColumn("reasons", F.array_join("reasons", ","))
+
+
 def _orders(spark, d):
     """Four replicas' orders of a page's equations: from the top, from the left, by id, and by id without every third one."""
     from pyspark.sql import Window
@@ -77,7 +84,7 @@ def reading_order_agreement(spark, d):
     return P.order_agreement(*_orders(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (page_layout_kinds, page_layout_order, column_splits, overlap_pairs, wide_blocks, region_order, region_order_right_to_left, replica_order_pairs, reading_order_agreement)}
+QUERIES = {f.__name__: f for f in (page_layout_kinds, page_layout_order, column_splits, overlap_pairs, wide_blocks, region_order, region_order_right_to_left, reading_order, replica_order_pairs, reading_order_agreement)}
 
 ITEMS = """items0 AS (SELECT record_id AS id, any_value(book) AS book, any_value(page_index) AS page_index, any_value(source_bounding_box) AS bb FROM equation_index WHERE record_id IS NOT NULL GROUP BY record_id),
       items AS (SELECT id, book, floor(page_index / 4)::BIGINT AS page_index, bb.x0 AS x0, bb.y0 AS y0, least(bb.x1, bb.x0 + 250) AS x1, bb.y0 + 150 AS y1 FROM items0 WHERE book IS NOT NULL AND page_index IS NOT NULL)"""
@@ -146,6 +153,23 @@ SQL = {
     "wide_blocks": "SELECT DISTINCT record_id AS id FROM equation_index WHERE record_id IS NOT NULL AND (source_bounding_box.x1 - source_bounding_box.x0) / 612 >= 0.5",
     "region_order": f"{REGIONS} SELECT l.book, l.page_index, id, lane, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY l.book, l.page_index ORDER BY lane, y0, x0, id) - 1 END AS position, reason FROM l JOIN f USING (book, page_index)",
     "region_order_right_to_left": f"{REGIONS} SELECT l.book, l.page_index, id, lane, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY l.book, l.page_index ORDER BY lane DESC, y0, x0, id) - 1 END AS position, reason FROM l JOIN f USING (book, page_index)",
+    "reading_order": f"""WITH {ITEMS}, k AS (SELECT *, CASE WHEN y1 <= 230 THEN 'header' WHEN y0 >= 620 THEN 'footer' WHEN right(id, 1) = '0' THEN 'other' WHEN x1 - x0 >= 220 THEN 'title' ELSE 'text' END AS kind FROM items),
+      q AS (SELECT *, coalesce(kind = 'title' AND y1 <= min(y0) OVER a AND x0 <= min(x0) OVER a AND x1 >= max(x1) OVER a, false) AS leads FROM k WHERE kind NOT IN ('header', 'footer') WINDOW a AS (PARTITION BY {B} ORDER BY y0, x0, id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+      pt AS (SELECT {B}, id, x0, y0, x1, y1, CASE WHEN min(leads::INT) OVER (PARTITION BY {B} ORDER BY y0, x0, id ROWS UNBOUNDED PRECEDING) = 1 THEN 'leading_title' ELSE 'body' END AS part FROM q UNION ALL SELECT {B}, id, x0, y0, x1, y1, kind FROM k WHERE kind IN ('header', 'footer')),
+      o AS (SELECT *, CASE WHEN x0 < max(x1) OVER (PARTITION BY {B}, part ORDER BY x0, x1, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM pt),
+      l AS (SELECT *, sum(opens) OVER (PARTITION BY {B}, part ORDER BY x0, x1, id ROWS UNBOUNDED PRECEDING)::BIGINT AS lane FROM o),
+      ap AS (SELECT {B}, part, min(met) = 0 AS apart FROM (SELECT a.book, a.page_index, a.part, a.lane, b.lane AS other, max((a.y0 < b.y1 AND b.y0 < a.y1)::INT) AS met FROM l a JOIN l b ON a.book = b.book AND a.page_index = b.page_index AND a.part = b.part AND a.lane < b.lane GROUP BY ALL) GROUP BY {B}, part),
+      c AS (SELECT *, coalesce(lag(y1) OVER (PARTITION BY {B}, part, lane ORDER BY y0, x0, id) > y0, false) AS crossed FROM l),
+      la AS (SELECT {B}, part, lane, max(x0) >= min(x1) AS spans, max(crossed::INT) = 1 AS crossed FROM c GROUP BY ALL),
+      why AS (SELECT {B}, part, arg_min(CASE WHEN spans THEN 'spanning_region_ambiguous' ELSE 'column_order_ambiguous' END, lane) FILTER (WHERE spans OR crossed) AS why FROM la GROUP BY {B}, part),
+      f AS (SELECT why.book, why.page_index, why.part, CASE WHEN apart THEN 'column_order_ambiguous' ELSE why END AS reason, CASE why.part WHEN 'header' THEN 0 WHEN 'leading_title' THEN 1 WHEN 'body' THEN 2 ELSE 3 END AS level FROM why LEFT JOIN ap USING (book, page_index, part)),
+      g AS (SELECT {B}, arg_min(reason, level) FILTER (WHERE reason IS NOT NULL) AS failed FROM f GROUP BY {B}),
+      ov AS (SELECT DISTINCT a.book, a.page_index, true AS ovl FROM items a JOIN items b ON a.book = b.book AND a.page_index = b.page_index AND a.id < b.id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1),
+      pg AS (SELECT {B}, max(CASE WHEN kind = 'header' THEN y1 END) > min(CASE WHEN kind <> 'header' THEN y0 END) AS h, min(CASE WHEN kind = 'footer' THEN y0 END) < max(CASE WHEN kind <> 'footer' THEN y1 END) AS ft, bool_or(kind = 'other') AS u FROM k GROUP BY {B}),
+      rs AS (SELECT pg.book, pg.page_index, array_to_string(list_sort(list_filter([CASE WHEN h THEN 'header_position_conflict' END, CASE WHEN ft THEN 'footer_position_conflict' END, CASE WHEN u THEN 'unsupported_region_kind' END, CASE WHEN ovl THEN 'overlapping_regions' END, failed], lambda x: x IS NOT NULL)), ',') AS reasons
+        FROM pg LEFT JOIN ov USING (book, page_index) LEFT JOIN g USING (book, page_index)),
+      ps AS (SELECT l.book, l.page_index, l.id, l.part, f.level, CASE WHEN f.reason IS NULL THEN row_number() OVER (PARTITION BY l.book, l.page_index, l.part ORDER BY lane, y0, x0, id) - 1 END AS pos FROM l JOIN f ON f.book = l.book AND f.page_index = l.page_index AND f.part = l.part)
+      SELECT ps.book, ps.page_index, id, part, CASE WHEN reasons = '' THEN row_number() OVER (PARTITION BY ps.book, ps.page_index ORDER BY level, pos, id) - 1 END AS position, reasons FROM ps JOIN rs USING (book, page_index)""",
     "replica_order_pairs": f"{ORDERS} SELECT * FROM prs",
     "reading_order_agreement": f"""{ORDERS}, e AS (SELECT page, replica, count(*) AS n, string_agg(id, ',' ORDER BY position, id) AS claim FROM j GROUP BY ALL), s AS (SELECT page, count(*) AS size FROM a GROUP BY page),
       g AS (SELECT page, count(*) AS replicas, count(DISTINCT claim) AS claims, min(n) AS least_ FROM e GROUP BY page), d AS (SELECT page, count(*) AS disagreements FROM prs GROUP BY page), k AS (SELECT page, count(*) FILTER (WHERE pa > pb) AS contradictions FROM q GROUP BY page)

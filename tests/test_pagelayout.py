@@ -79,3 +79,16 @@ def test_column_order(spark):
         got = P.column_order(df, ["page"], turned).collect()
         assert [r.id for r in sorted((r for r in got if r.page == "p"), key=lambda r: r.position)] == want
         assert {r.reason for r in got if r.page == "q"} == {"column_order_ambiguous"} and {r.reason for r in got if r.page == "s"} == {"spanning_region_ambiguous"}
+
+
+def test_reading_order(spark):
+    """Header, leading titles, two columns, footer; a header below text, kinds without a place and a lane that spans columns escalate."""
+    two = [("t0", "title", (40.0, 30.0, 560.0, 50.0)), ("t1", "title", (40.0, 52.0, 560.0, 58.0))] + [(i, "text", b) for i, b in column("l", 40, 200, [60, 170]) + column("r", 320, 240, [60, 170])]
+    page = [("h", "header", (40.0, 0.0, 100.0, 20.0)), ("f", "footer", (40.0, 700.0, 100.0, 720.0)), *two]
+    rows = [("p", *r) for r in page] + [("q", *r) for r in two] + [("q", "h", "header", (300.0, 400.0, 310.0, 420.0)), ("q", "s", "sidebar", (300.0, 500.0, 310.0, 520.0)), ("q", "c", "caption", (300.0, 600.0, 310.0, 620.0))]
+    got = P.reading_order(spark.createDataFrame(rows, f"page string, id string, kind string, box {BOX}"), ["page"]).collect()
+    assert [(r.id, r.part) for r in sorted((r for r in got if r.page == "p"), key=lambda r: r.position)] == [
+        ("h", "header"), ("t0", "leading_title"), ("t1", "leading_title"), ("l0", "body"), ("l1", "body"), ("r0", "body"), ("r1", "body"), ("f", "footer")
+    ]
+    bad = [r for r in got if r.page == "q"]
+    assert {r.position for r in bad} == {None} and set(bad[0].reasons) >= {"header_position_conflict", "unsupported_region_kind", "caption_association_required"}
