@@ -67,9 +67,14 @@ def regular(word: str) -> bool:
     return all(p.islower() or p.isupper() or (p[:1].isupper() and p[1:].islower()) for p in re.split("[-’']", word) if p)
 
 
+def _sign(c: str) -> bool:
+    """Whether a character is a sign that words don't have."""
+    return c in "@!|$€¢" or c.isdigit()
+
+
 def _most(word: str) -> int:
     """Confusions a word may have and still be taken for a known one: one in four characters, two at least, and every sign that words don't have."""
-    return max(2, len(word) // 4) + sum(c in "@!|$€¢" or c.isdigit() for c in word)
+    return max(2, len(word) // 4) + sum(map(_sign, word))
 
 
 def _folded(word: str) -> str:
@@ -190,30 +195,41 @@ class Vocabulary:
         How many confusions a word may have grows with its length: see `_most`.
         """
         words, out = self.words, {}
-        most = _most(text[start:])
-        states: list[dict[str, tuple[int, int, int]]] = [{} for _ in range(len(text) + 1)]
-        states[start][""] = (0, 0, len(words))
+        limits, signs = [], 0
         for i in range(start, len(text)):
-            for done, (n, low, high) in states[i].items():
-                steps = [(text[i], i + 1, n)]
-                if n < most:
-                    steps += [(p, i + 1, n + 1) for p in PRINTED.get(text[i], ())]
-                    steps += [(p, i + 2, n + 1) for p in PRINTED.get(text[i : i + 2], ()) if i + 2 <= len(text)] if i + 1 < len(text) else []
-                for p, j, k in steps:
-                    longer = done + p
-                    there = states[j].get(longer)
-                    if there is not None:
-                        if k < there[0]:
-                            states[j][longer] = (k, *there[1:])
-                        continue
-                    inside = self._range(_folded(longer), low, high)
-                    if inside:
-                        states[j][longer] = (k, *inside)
-            for done, (n, low, _) in states[i + 1].items():
-                if n <= _most(text[start : i + 1]) and words[low] == _folded(done) and self.count(done):
+            signs += _sign(text[i])
+            limits.append(max(2, (i - start + 1) // 4) + signs)
+        most = limits[-1] if limits else 0
+        # By position: what is read so far, its confusions, its range of words, and it folded.
+        states: list[dict[str, tuple[int, int, int, str]]] = [{} for _ in range(len(text) + 1)]
+        states[start][""] = (0, 0, len(words), "")
+        for i in range(start, len(text)):
+            here = states[i]
+            if here:
+                c, two = text[i], text[i : i + 2]
+                options = [(c, i + 1, 0, _folded(c)), *((p, i + 1, 1, _folded(p)) for p in PRINTED.get(c, ()))]
+                if len(two) == 2:
+                    options += [(p, i + 2, 1, _folded(p)) for p in PRINTED.get(two, ())]
+                for done, (n, low, high, fold) in here.items():
+                    for p, j, more, shape in options:
+                        if n + more > most:
+                            continue
+                        longer, k = done + p, n + more
+                        there = states[j].get(longer)
+                        if there is not None:
+                            if k < there[0]:
+                                states[j][longer] = (k, *there[1:])
+                            continue
+                        shape = fold + shape
+                        inside = self._range(shape, low, high)
+                        if inside:
+                            states[j][longer] = (k, *inside, shape)
+            limit = limits[i - start]
+            for done, (n, low, _, fold) in states[i + 1].items():
+                if n <= limit and words[low] == fold and self.count(done):
                     out.setdefault(i + 1, {})[done] = n
         if beyond:
-            return any(high - low > 1 or words[low] != _folded(done) for done, (_, low, high) in states[-1].items())
+            return any(high - low > 1 or words[low] != fold for _, low, high, fold in states[-1].values())
         return out
 
     def printed(self, word: str) -> list[tuple[str, int]]:
