@@ -86,10 +86,10 @@ class SentenceModel:
 
     def logit(self, said: list[str]) -> float:
         """Of a sentence's tokens. What the model has no feature for costs one look-up a token."""
+        if self.words.keys().isdisjoint(said):
+            return self.bias + (0.0 if said else self.weights.get(ROW | (START * WIDE + END), 0.0))
         get = self.words.get
         ids = [START, *(get(w, -1) for w in said), END]
-        if max(ids[1:-1], default=-1) < 0:
-            return self.bias + self.weights.get(ROW | (START * WIDE + END), 0.0) if not said else self.bias
         keys = {i for i in ids[1:-1] if i >= 0}
         keys.update(ROW | (a * WIDE + b) for a, b in zip(ids, ids[1:]) if a >= 0 <= b)
         keys.update(APART | (a * WIDE + b) for a, b in zip(ids, ids[2:]) if a >= 0 <= b)
