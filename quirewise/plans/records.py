@@ -81,7 +81,9 @@ def completion_gate(spark, d):
     inside = F.max("rank").over(Window.partitionBy("part").orderBy("at", F.col("rank").isNull()).rowsBetween(Window.unboundedPreceding, 0))
     upto = marks.withColumn("part", part).withColumn("upto", inside).where("run_number is not null")
     # Where the block has no sequence before the mark, all of the blocks before it count.
-    earlier = upto.select("part").distinct().join(sizes, F.col("block") < F.col("part"), "left").groupBy("part").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("earlier"))
+    both = sizes.unionByName(upto.select(F.col("part").alias("block"), F.lit(0).cast("bigint").alias("n")).distinct()).groupBy("block").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy(F.lit(0)).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row a block
+    earlier = both.select(F.col("block").alias("part"), F.coalesce(F.sum("n").over(whole), F.lit(0)).alias("earlier"))
     y = upto.join(earlier, "part").withColumn("upto", F.coalesce("upto", "earlier"))
     found = y.groupBy("run_number", "publication_count").agg((F.max(F.when(F.col("end") == "b", F.col("upto"))) - F.max(F.when(F.col("end") == "a", F.col("upto")))).alias("found"))
     found = found.withColumn("found", F.greatest(F.lit(0), "found"))
