@@ -8,17 +8,22 @@ is chosen, and the line stays as it is if none is shorter.
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirewise.storage import cut
+
 #: Encodings by which UTF-8 is taken to have been misread.
 READ_AS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r")
 #: Of these, those whose letters make valid sequences by chance: there only two in a row are a sign.
@@ -197,41 +202,115 @@ def repair(text: str, model: Model) -> tuple[str, list[str], bool]:
     return "\n".join(lines), sorted(set(chains)), LOST in text
 
 
-def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+#: Characters of text whose words a task counts at a time.
+AT_ONCE = 16_000_000
+_PIECES = pa.schema([("what", pa.string()), ("lang", pa.string()), ("piece", pa.string()), ("n", pa.int64())])
+
+
+def _pairs(lang: str, texts: list[str]) -> pa.RecordBatch:
+    """How often each word follows each; texts begin and end with a line's end, a word by itself, so where two texts meet is no pair."""
+    words = pc.split_pattern(pa.array(texts, pa.large_string()), " ").flatten().dictionary_encode()
+    codes, known = words.indices.to_numpy().astype(np.int64), words.dictionary
+    both, n = np.unique(codes[:-1] * len(known) + codes[1:], return_counts=True)
+    first, second = both // len(known), both % len(known)
+    end = pc.index(known, "\n").as_py()
+    kept = (first != end) | (second != end)
+    pieces = pc.binary_join_element_wise(known.take(pa.array(first[kept])), known.take(pa.array(second[kept])), pa.scalar(" ", pa.large_string())).cast(pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(["pair"] * len(pieces)), pa.array([lang] * len(pieces)), pieces, pa.array(n[kept], pa.int64())], schema=_PIECES)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts: dict[str, list[str]] = {}
+    others: Counter = Counter()
+    high: Counter = Counter()
+    held = 0
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             lines = clean_lines(text)
-            seen[""] += len(lines)
-            seen["\n"] += sum(map(len, lines))
+            if not lines:
+                continue
+            length = sum(map(len, lines))
+            others["records", lang, ""] += 1
+            others["lines", lang, ""] += len(lines)
+            others["length", lang, ""] += length
             if not text.isascii():
                 for x in lines:
                     if not x.isascii():
-                        seen.update({c for c in x if "\x7f" < c and not "\ud800" <= c <= "\udfff"})
-    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["character", "n"])
-
-
-def character_counts(texts: DataFrame) -> tuple[dict[str, int], int, int]:
-    """In how many lines without signs of misreading each character above ASCII stands, the number of such lines and their length: over all texts,
-    counted before the shuffle, a table no longer than the characters there are."""
-    counted = texts.select("text").mapInArrow(_characters, "character string, n long").groupBy("character").agg(F.sum("n").alias("n"))
-    counts = {r.character: r.n for r in counted.collect()}
-    return counts, counts.pop("", 0), counts.pop("\n", 0)
+                        high.update({c for c in x if c > "\x7f"})
+            texts.setdefault(lang, []).append(" \n ".join(["", *lines, ""])[1:-1])
+            held += length
+            if held > AT_ONCE:
+                yield from map(_pairs, texts, texts.values())
+                texts, held = {}, 0
+    yield from map(_pairs, texts, texts.values())
+    if others:
+        columns = zip(*[*((*k, n) for k, n in others.items()), *(("character", "", c, n) for c, n in high.items())])
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECES)], schema=_PIECES)
+
+
+def piece_counts(texts: DataFrame) -> DataFrame:
+    """(what, lang, piece, n), over all lines without signs of misreading of texts (lang, text), counted before the shuffle: each pair of words (between
+    spaces; a line's end is a word) of a language, in how many lines each character above ASCII stands, and the records, lines and their length by language."""
+    counted = texts.select("lang", "text").mapInArrow(_counted, "what string, lang string, piece string, n long")
+    return counted.groupBy("what", "lang", "piece").agg(F.sum("n").alias("n"))
+
+
+def lines_of(pairs: dict[tuple[str, str], int]) -> list[str]:
+    """Lines in which pairs of words stand as often as given (a line's end is a word): one walk over all of them. Where a word has no pair left, it
+    takes the place of one that more pairs begin with than end with, so rare words stand in for each other, or else of any word left."""
+    onward: dict[str, list[str]] = {}
+    spare: Counter = Counter()
+    for (a, b), n in sorted(pairs.items()):
+        onward.setdefault(a, []).extend([b] * n)
+        spare[a] += n
+        spare[b] -= n
+    mixed = random.Random(0)
+    for following in onward.values():
+        mixed.shuffle(following)
+    heads = [w for w, n in sorted(spare.items()) for _ in range(n)]
+    mixed.shuffle(heads)
+    left, lines, line, at = sorted(onward), [], [], "\n"
+    for _ in range(sum(pairs.values())):
+        while not onward.get(at):
+            at = heads.pop() if heads else left.pop()
+            if not heads and onward.get(at):
+                left.append(at)
+        at = onward[at].pop()
+        if at != "\n":
+            line.append(at)
+        elif line:
+            lines.append(" ".join(line))
+            line = []
+    return [*lines, " ".join(line)] if line else lines
 
 
 def trained_on(records: DataFrame, each: int = 800, longest: int = 20_000) -> Model:
-    """A model whose characters are counted over all records, and whose dictionaries are trained on about `each` records a language (column lang,
-    hashed choice by record_key) of at most `longest` characters: the bound on what the driver gets."""
+    """A model whose characters and pairs of words are counted over all records (by column lang). The dictionaries are trained on lines made of the
+    counted pairs, each as often as its share of all pairs of the language asks, in a text as long as `each` records of mean length (`longest` characters
+    at most): the bound on what the driver gets. A language with no more text than that is trained on its very counts; of one with more, a pair that falls
+    to less than one time there stands in it once or not at all."""
     usable = records.where("text is not null and record_key is not null").withColumn("lang", F.coalesce("lang", F.lit("")))
-    short = usable.where(F.length("text") <= longest)
-    counts = {r.lang: r.n for r in short.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = cut(piece_counts(usable), "pieces")
+    characters: dict[str, int] = {}
+    of: dict[str, dict[str, int]] = {"records": {}, "lines": {}, "length": {}}
+    for r in counts.where("what <> 'pair'").collect():
+        if r.what == "character":
+            characters[r.piece] = r.n
+        else:
+            of[r.what][r.lang] = r.n
     samples: dict[str, list[str]] = {}
-    if counts:
-        share = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, each / n))]), F.col("lang"))
-        chosen = F.pmod(F.xxhash64("record_key", F.lit("train")), F.lit(1_000_000)) < share * 1_000_000
-        for r in short.where(chosen).select("lang", "text").collect():
-            samples.setdefault(r.lang, []).append(r.text)
-    return train(samples, characters=character_counts(usable))
+    if of["length"]:
+        shares = {k: min(1.0, each * min(longest, n / of["records"][k]) / n) for k, n in of["length"].items()}
+        share = F.element_at(F.create_map(*[F.lit(x) for k, v in sorted(shares.items()) for x in (k, v)]), F.col("lang"))
+        # Parts of a time are rounded by a hash of the pair, so that sums hold.
+        part = F.pmod(F.xxhash64("lang", "piece"), F.lit(1_000_000)) / 1_000_000
+        times = counts.where("what = 'pair'").select("lang", "piece", F.floor(F.col("n") * share + part).alias("times")).where("times > 0")
+        pairs: dict[str, dict[tuple[str, str], int]] = {k: {} for k in sorted(shares)}
+        for r in times.collect():
+            a, b = r.piece.split(" ")
+            pairs[r.lang][a, b] = r.times
+        samples = {k: lines_of(own) for k, own in pairs.items()}
+    return train(samples, characters=(characters, sum(of["lines"].values()), sum(of["length"].values())))
 
 
 REPAIRED = "field string, record_key string, restored string, chains array<string>, lost boolean"
