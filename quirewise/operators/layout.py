@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -85,6 +89,89 @@ def near_boxes(items: DataFrame, page: list[str], gap: float = 24.0, cell: float
     return a.join(b, [*page, "cx", "cy"]).where((F.col("a") < F.col("b")) & close).select("a", "b").distinct()
 
 
+#: About so many pairs are held at a time (at least those of one box).
+PAIRS = 1_000_000
+
+
+def _link(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Merge the groups of a[k] and b[k] in place; label has the least member of each one's group."""
+    while True:
+        a, b = label[a], label[b]
+        apart = a != b
+        if not apart.any():
+            return
+        a, b = a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(further := label[label], label):
+            label[:] = further
+
+
+def _least_linked(page: np.ndarray, box: list[np.ndarray], known: np.ndarray, repeats: np.ndarray, gap: float) -> np.ndarray:
+    """The least place each box is linked to. Boxes of a page, sorted by y0, can only be near those that follow up to y1 + gap. NaN is above all, as in SQL."""
+    x0, y0, x1, y1 = box
+    label = np.arange(len(page))
+    _link(label, np.flatnonzero(repeats), np.flatnonzero(repeats) - 1)
+    at = np.flatnonzero(known)
+    order = at[np.lexsort((y0[at], page[at]))]
+    m = len(order)
+    mixed = np.lexsort((np.repeat([0, 1], m), np.concatenate([y0[order], y1[order] + gap]), np.tile(page[order], 2)))
+    reach = np.empty(m, np.int64)
+    reach[mixed[mixed >= m] - m] = np.cumsum(mixed < m)[mixed >= m]
+    count = np.maximum(reach - np.arange(1, m + 1), 0)
+    done = np.cumsum(count)
+    below = lambda a, b: (a <= b) | np.isnan(b)
+    low = 0
+    while low < m:
+        high = max(low + 1, int(np.searchsorted(done, done[low] - count[low] + PAIRS, "right")))
+        c = count[low:high]
+        i = np.repeat(np.arange(low, high), c)
+        a, b = order[i], order[i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)]
+        near = below(x0[a], x1[b] + gap) & below(x0[b], x1[a] + gap) & below(y0[a], y1[b] + gap)
+        _link(label, a[near], b[near])
+        low = high
+    return label
+
+
+def _linked(pages: list[pa.RecordBatch], gap: float) -> pa.RecordBatch:
+    """(id, component) of whole pages; an id that a page has twice is one item with both boxes."""
+    t = pa.Table.from_batches(pages)
+    t = t.append_column("page", pa.array(np.cumsum(t["place"].to_numpy() == 0)))
+    t = t.take(pc.sort_indices(t, sort_keys=[("page", "ascending"), ("id", "ascending")]))
+    column = lambda k: t[k].combine_chunks()
+    ids, page, sides = column("id"), column("page").to_numpy(), [column(k) for k in ("x0", "y0", "x1", "y1")]
+    known = np.logical_and.reduce([x.is_valid().to_numpy(zero_copy_only=False) for x in (ids, *sides)])
+    repeats = np.zeros(len(page), bool)
+    repeats[1:] = pc.fill_null(pc.equal(ids[1:], ids[:-1]), False).to_numpy(zero_copy_only=False) & (page[1:] == page[:-1])
+    least = _least_linked(page, [x.to_numpy(zero_copy_only=False) for x in sides], known, repeats, gap)
+    one = np.flatnonzero(~repeats)
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(one)), ids.take(pa.array(least[one]))], ["id", "component"])
+
+
+def box_groups(placed: DataFrame, gap: float = 24.0) -> DataFrame:
+    """(id, component): the least id of a page's items whose boxes lie within `gap` on both axes, directly or through others.
+
+    placed (place, id, box) comes straight from posexplode over one row a page: its rows follow each other, place 0 begins the next. No link
+    leaves a page, so one pass gives what `components` of `near_boxes` finds in rounds, and a task holds one batch and the page it ends in.
+    Boxes with a null side stand alone; null ids have a null component.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            begins = np.flatnonzero(batch.column("place").to_numpy() == 0)
+            if len(begins):
+                whole = [*held, batch.slice(0, begins[-1])]
+                if any(len(x) for x in whole):
+                    yield _linked(whole, gap)
+                held = []
+            held.append(batch.slice(begins[-1]) if len(begins) else batch)
+        if any(len(x) for x in held):
+            yield _linked(held, gap)
+
+    sides = [F.col(f"box.{k}").cast("double").alias(k) for k in ("x0", "y0", "x1", "y1")]
+    return placed.select("place", "id", *sides).mapInArrow(run, "id string, component string")
+
+
 def table_grid(tokens: DataFrame) -> DataFrame:
     """A dense grid of each result's tokens: rows are its lines, columns the connected intervals of x; empty cells have an empty text."""
     w = Window.partitionBy("selection_result_id").orderBy("box.x0", "box.x1")

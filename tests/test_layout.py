@@ -67,3 +67,33 @@ def test_near_boxes_and_grid(spark):
     grid = L.table_grid(spark.createDataFrame(tokens, f"selection_result_id string, order int, line_order int, text string, box {BOX}"))
     assert sorted((r.row, r.column, r.text) for r in grid.collect()) == [(0, 1, "Header A"), (0, 2, "Header B"), (1, 1, "Cell A1"), (1, 2, "")]
     assert grid.where(F.col("text") == "").count() == 1
+
+
+def test_token_groups_in_one_pass_as_sql(spark, tmp_path):
+    import duckdb
+
+    from quirewise.plans import layout as Q
+
+    rng, nan = random.Random(5), float("nan")
+    pages = {f"r{k}": [(i, (x, y, x + rng.choice([30, 5, -20]), y + rng.choice([10, 40]))) for i, (x, y) in enumerate((rng.randrange(400), rng.randrange(400)) for _ in range(n))] for k, n in enumerate((0, 1, 30, 60))}
+    # A staircase whose numbers jump, edges at exactly the gap and just beyond, sides and boxes that are null or NaN, an order twice, no order.
+    pages["stairs"] = [(k * 37 % 120, (20 * k, 20 * k, 20 * k + 8, 20 * k + 8)) for k in range(120)]
+    pages["edges"] = [(0, (0, 0, 10, 10)), (1, (22, 0, 30, 10)), (2, (42.000001, 0, 50, 10)), (3, (0, 22, 5, 30))]
+    pages["odd"] = [(0, None), (1, (0, 0, None, 5)), (2, (0, 0, 5, 5)), (3, (nan, 0, nan, 5)), (4, (500, 0, 505, 5)), (5, (0, 600, 5, nan)), (6, (0, 900, 5, 905))]
+    pages["twice"] = [(7, (0, 0, 5, 5)), (7, (900, 0, 905, 5)), (8, (10, 0, 15, 5)), (9, (890, 0, 895, 5)), (10, (450, 0, 455, 5))]
+    pages["none"] = [(None, (0, 0, 5, 5)), (None, (1, 1, 5, 5)), (1, (2, 2, 5, 5))]
+    rows = [(k, k, [(i, 0, "t", 1.0, b and tuple(v if v is None else float(v) for v in b)) for i, b in items]) for k, items in pages.items()]
+    kind = f"selection_result_id string, page_id string, tokens array<struct<order:int,line_order:int,text:string,confidence:double,pixel_bounding_box:{BOX}>>"
+    spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/ocr_results.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW ocr_results AS SELECT * FROM '{tmp_path}/ocr_results.parquet/*.parquet'")
+    want = sorted(db.sql(Q.SQL["token_groups"]).fetchall(), key=str)
+    spark.sparkContext.setJobGroup("token_groups", "")
+    try:
+        groups = Q.token_groups(spark, str(tmp_path))
+        got = [tuple(r) for r in groups.collect()]
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("token_groups"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8  # however long a chain is
+    assert sorted(got, key=str) == want and (None, 1) in want
